@@ -23,6 +23,9 @@ AMOUNT_NOT_NUMERIC = "amount_not_numeric"
 AMOUNT_NOT_POSITIVE = "amount_not_positive"
 REASONS: list[str] = [MISSING_ORDER_ID, AMOUNT_NOT_NUMERIC, AMOUNT_NOT_POSITIVE]
 
+# The stage names of the row-count report, in pipeline order.
+STAGES: list[str] = ["bronze", "after_order_id", "after_amount", "silver", "gold"]
+
 
 def order_id_present(order_id: str | Column = "order_id") -> Column:
     """Rule 1 passes: order_id is neither NULL nor blank."""
@@ -69,18 +72,25 @@ def reject_counts(bronze_df: DataFrame) -> DataFrame:
     )
 
 
-def stage_counts(bronze_df: DataFrame) -> DataFrame:
+def stage_counts(bronze_df: DataFrame, group_key: str | None = None) -> DataFrame:
     """Rows left after each rule, as one row of counts from a single scan.
 
-    Columns: bronze, after_order_id, after_amount, silver. ``silver`` equals
-    ``after_amount`` (the remaining steps are projections), kept as its own
-    column because it is the number a reader of the layer looks for.
+    Columns: bronze, after_order_id, after_amount, silver (equal to
+    after_amount: the remaining Silver steps are projections, kept as its own
+    column because it is the number a reader of the layer looks for). With
+    ``group_key``, also ``gold``: the number of groups the Silver rows form on
+    that key, a NULL key counting as one group, in the same aggregate.
     """
     id_ok = order_id_present()
     all_ok = id_ok & amount_valid()
-    return bronze_df.agg(
+    aggs = [
         F.count(F.lit(1)).alias("bronze"),
         F.count_if(id_ok).alias("after_order_id"),
         F.count_if(all_ok).alias("after_amount"),
         F.count_if(all_ok).alias("silver"),
-    )
+    ]
+    if group_key is not None:
+        key = F.col(group_key)
+        groups = F.count_distinct(F.when(all_ok, key)) + F.max(F.when(all_ok & key.isNull(), 1).otherwise(0))
+        aggs.append(F.coalesce(groups, F.lit(0)).cast("long").alias("gold"))
+    return bronze_df.agg(*aggs)

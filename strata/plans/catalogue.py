@@ -1,28 +1,235 @@
 """The query catalogue: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
 Every query reads the driver's tables (through the fixture projections of
-``orders``), so its work grows with them.
+``orders``), so its work grows with them. Queries that exercise a sink write
+to a fresh folder under the session's shared ``spark.checkpoint.dir`` and
+return a DataFrame that reads the written data back.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.functions.cleaning import normalise_status, parse_amount, parse_date
+from strata.functions.lineage import file_name_of
+from strata.operators import summaries
 from strata.operators.bronze import bronze
 from strata.operators.gold import gold
+from strata.operators.quality import (
+    STAGES,
+    amount_valid,
+    order_id_present,
+    reject_counts,
+    rejects,
+    stage_counts,
+)
 from strata.operators.silver import silver
-from strata.sources.fixtures import orders_src
+from strata.plans.pipeline import run_pipeline
+from strata.plans.sql import sql_province_totals
+from strata.schemas import BUSINESS_COLUMNS, GOLD_SCHEMA, ORDER_COLUMNS, SUCCESS
+from strata.session import scratch_path
+from strata.sinks.export import export_single_csv
+from strata.sinks.layers import LAYERS, publish_layers, write_layer
+from strata.sources.files import CSV_KEEP_BLANKS, read_inferred_csv, read_layer, read_raw
+from strata.sources.fixtures import orders_clean, orders_src
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze(orders_src(spark, sf_dir, with_source_file=True))
+
+
+def _lineage_view(df: DataFrame) -> DataFrame:
+    """Business columns + file *name* + whether a load time is set (the full
+    path and the timestamp differ per run, so they are not compared)."""
+    return df.select(
+        *BUSINESS_COLUMNS,
+        file_name_of("source_file").alias("source_file"),
+        F.col("load_time").isNotNull().alias("has_load_time"),
+    )
+
+
+# --- sources -----------------------------------------------------------------
+
+
+def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders-clean-csv")
+    orders_clean(spark, sf_dir).write.option("header", "true").csv(path)
+    return read_inferred_csv(spark, path)
+
+
+def csv_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders-src-csv")
+    orders_src(spark, sf_dir).write.option("header", "true").options(**CSV_KEEP_BLANKS).csv(path)
+    return read_raw(spark, path, with_source_file=False)
+
+
+# --- part 1: DataFrame and SQL summaries ------------------------------------
+
+
+def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.select_columns(orders_clean(spark, sf_dir), "order_id", "province", "amount", "status")
+
+
+def filter_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.filter_status(orders_clean(spark, sf_dir), SUCCESS)
+
+
+def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.preview(orders_clean(spark, sf_dir), 10)
+
+
+def province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries.province_totals(orders_clean(spark, sf_dir), status=SUCCESS)
+
+
+def sql_province_totals_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_province_totals(spark, orders_clean(spark, sf_dir))
+
+
+def sql_province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sql_province_totals(spark, orders_clean(spark, sf_dir), status=SUCCESS)
+
+
+# --- Bronze ------------------------------------------------------------------
+
+
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineage_view(_bronze(spark, sf_dir))
+
+
+def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "bronze")
+    write_layer(_bronze(spark, sf_dir), path)
+    return _lineage_view(read_layer(spark, path))
+
+
+# --- Silver ------------------------------------------------------------------
+
+
+def silver_business_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "bronze")
+    write_layer(_bronze(spark, sf_dir), path)
+    return read_layer(spark, path, BUSINESS_COLUMNS)
+
+
+def silver_rule_order_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).filter(order_id_present()).select(*BUSINESS_COLUMNS)
+
+
+def silver_rule_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        _bronze(spark, sf_dir)
+        .filter(order_id_present() & amount_valid())
+        .select("order_id", parse_amount("amount").alias("amount"))
+    )
+
+
+def silver_status_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).select("order_id", normalise_status("status").alias("status"))
+
+
+def silver_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).select("order_id", parse_date("order_date").alias("order_date"))
+
+
+def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver(_bronze(spark, sf_dir))
+
+
+def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rejects(_bronze(spark, sf_dir)).select(*BUSINESS_COLUMNS, "reject_reason")
+
+
+def silver_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reject_counts(_bronze(spark, sf_dir))
+
+
+def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(stage, n) for bronze, after_order_id, after_amount, silver, gold — one scan.
+
+    The Gold row count is the number of province groups among Silver rows
+    (a NULL province is a group of its own), counted in the same aggregate.
+    """
+    counts = stage_counts(_bronze(spark, sf_dir), group_key="province")
+    return counts.unpivot([], STAGES, "stage", "n")
+
+
+# --- Gold, pipeline, sinks ---------------------------------------------------
+
+
 def gold_order_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold(silver(bronze(orders_src(spark, sf_dir, with_source_file=True))))
+    return gold(silver(_bronze(spark, sf_dir)))
+
+
+def pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = run_pipeline(
+        spark,
+        orders_src(spark, sf_dir, with_source_file=True),
+        scratch_path(spark, "lakehouse"),
+        load_time_at=dt.datetime(2026, 1, 1),
+    )
+    return read_layer(spark, result.paths["gold"])
+
+
+def publish_layers_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the pipeline, publish its three layers to a second store, and count
+    the rows read back from each published path: (layer, n)."""
+    local = run_pipeline(spark, orders_src(spark, sf_dir, with_source_file=True), scratch_path(spark, "lakehouse"))
+    target = scratch_path(spark, "published")
+    published = publish_layers(
+        {layer: read_layer(spark, local.paths[layer]) for layer in LAYERS},
+        target,
+        tables={"bronze": "orders", "silver": "orders", "gold": "order_summary"},
+    )
+    parts = [
+        read_layer(spark, published[layer]).agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), "n")
+        for layer in LAYERS
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold exported as one named CSV file, read back with the Gold schema."""
+    target = scratch_path(spark, "export") + "/gold/order_summary.csv"
+    export_single_csv(gold(silver(_bronze(spark, sf_dir))), target)
+    return spark.read.schema(GOLD_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(target)
 
 
 def queries() -> dict[str, Query]:
     return {
+        "csv_inferred_scan": csv_inferred_scan,
+        "csv_raw_scan": csv_raw_scan,
+        "select_columns": select_columns,
+        "filter_success": filter_success,
+        "orders_preview": orders_preview,
+        "province_success_totals": province_success_totals,
+        "sql_province_totals": sql_province_totals_all,
+        "sql_province_success_totals": sql_province_success_totals,
+        "bronze_orders": bronze_orders,
+        "bronze_roundtrip": bronze_roundtrip,
+        "silver_business_columns": silver_business_columns,
+        "silver_rule_order_id": silver_rule_order_id,
+        "silver_rule_amount": silver_rule_amount,
+        "silver_status_normalised": silver_status_normalised,
+        "silver_order_date": silver_order_date,
+        "silver_orders": silver_orders,
+        "silver_rejects": silver_rejects,
+        "silver_reject_reasons": silver_reject_reasons,
+        "layer_row_counts": layer_row_counts,
         "gold_order_summary": gold_order_summary,
+        "pipeline_gold": pipeline_gold,
+        "publish_layers": publish_layers_counts,
+        "export_single_csv": export_gold_csv,
     }
+
+
+__all__ = ["ORDER_COLUMNS", "queries"]

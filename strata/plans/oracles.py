@@ -37,7 +37,83 @@ ORDER BY total_amount DESC NULLS LAST, province
 """
 
 
+PROVINCE_TOTALS = """
+SELECT province,
+       CAST(count(*) AS BIGINT) AS total_orders,
+       CAST(sum(amount) AS BIGINT) AS total_amount
+FROM {CLEAN} c
+{where}
+GROUP BY province
+"""
+
+BRONZE_VIEW = f"""
+SELECT order_id, customer_id, province, amount, status, order_date,
+       'orders.parquet' AS source_file, true AS has_load_time
+FROM {SRC} s
+"""
+
+LAYER_ROW_COUNTS = f"""
+WITH b AS (
+  SELECT *,
+         (order_id IS NOT NULL AND trim(order_id) <> '') AS id_ok,
+         (order_id IS NOT NULL AND trim(order_id) <> ''
+          AND coalesce(TRY_CAST(amount AS DOUBLE) > 0
+                       AND NOT isnan(TRY_CAST(amount AS DOUBLE))
+                       AND NOT isinf(TRY_CAST(amount AS DOUBLE)), false)) AS all_ok
+  FROM {SRC} s
+)
+SELECT 'bronze' AS stage, CAST(count(*) AS BIGINT) AS n FROM b
+UNION ALL SELECT 'after_order_id', CAST(count(*) FILTER (WHERE id_ok) AS BIGINT) FROM b
+UNION ALL SELECT 'after_amount', CAST(count(*) FILTER (WHERE all_ok) AS BIGINT) FROM b
+UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM {SILVER} v
+UNION ALL SELECT 'gold', CAST(count(*) AS BIGINT) FROM (SELECT province FROM {SILVER} v GROUP BY province) g
+"""
+
+REJECTS = f"""
+SELECT order_id, customer_id, province, amount, status, order_date,
+       CASE WHEN order_id IS NULL OR trim(order_id) = '' THEN 'missing_order_id'
+            WHEN TRY_CAST(amount AS DOUBLE) IS NULL OR isnan(TRY_CAST(amount AS DOUBLE))
+                 OR isinf(TRY_CAST(amount AS DOUBLE)) THEN 'amount_not_numeric'
+            WHEN TRY_CAST(amount AS DOUBLE) <= 0 THEN 'amount_not_positive'
+       END AS reject_reason
+FROM {SRC} s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "csv_inferred_scan": f"SELECT * FROM {CLEAN} c",
+        "csv_raw_scan": f"""
+            SELECT nullif(order_id, '') AS order_id, nullif(customer_id, '') AS customer_id,
+                   nullif(province, '') AS province, nullif(amount, '') AS amount,
+                   nullif(status, '') AS status, nullif(order_date, '') AS order_date
+            FROM {SRC} s""",
+        "select_columns": f"SELECT order_id, province, amount, status FROM {CLEAN} c",
+        "filter_success": f"SELECT * FROM {CLEAN} c WHERE status = 'SUCCESS'",
+        "orders_preview": f"SELECT * FROM {CLEAN} c ORDER BY order_id LIMIT 10",
+        "province_success_totals": PROVINCE_TOTALS.format(CLEAN=CLEAN, where="WHERE status = 'SUCCESS'"),
+        "sql_province_totals": PROVINCE_TOTALS.format(CLEAN=CLEAN, where=""),
+        "sql_province_success_totals": PROVINCE_TOTALS.format(CLEAN=CLEAN, where="WHERE status = 'SUCCESS'"),
+        "bronze_orders": BRONZE_VIEW,
+        "bronze_roundtrip": BRONZE_VIEW,
+        "silver_business_columns": f"SELECT * FROM {SRC} s",
+        "silver_rule_order_id": f"SELECT * FROM {SRC} s WHERE order_id IS NOT NULL AND trim(order_id) <> ''",
+        "silver_rule_amount": f"SELECT order_id, amount FROM {SILVER} v",
+        "silver_status_normalised": f"SELECT order_id, upper(trim(status)) AS status FROM {SRC} s",
+        "silver_order_date": f"""
+            SELECT order_id, CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date
+            FROM {SRC} s""",
+        "silver_orders": f"SELECT * FROM {SILVER} v",
+        "silver_rejects": f"SELECT * FROM ({REJECTS}) r WHERE reject_reason IS NOT NULL",
+        "silver_reject_reasons": f"""
+            SELECT reject_reason AS reason, CAST(count(*) AS BIGINT) AS n
+            FROM ({REJECTS}) r WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+        "layer_row_counts": LAYER_ROW_COUNTS,
         "gold_order_summary": GOLD,
+        "pipeline_gold": GOLD,
+        "publish_layers": f"""
+            SELECT 'bronze' AS layer, CAST(count(*) AS BIGINT) AS n FROM {SRC} s
+            UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM {SILVER} v
+            UNION ALL SELECT 'gold', CAST(count(*) AS BIGINT) FROM ({GOLD}) g""",
+        "export_single_csv": GOLD,
     }
