@@ -35,7 +35,8 @@ from strata.session import scratch_path
 from strata.sinks.export import export_single_csv
 from strata.sinks.layers import LAYERS, publish_layers, write_layer
 from strata.sources.files import CSV_KEEP_BLANKS, read_inferred_csv, read_layer, read_raw
-from strata.sources.fixtures import orders_clean, orders_src
+from strata.sources.fixtures import orders_clean, orders_src, orders_table
+from strata.sources.generate import generate_clean_orders, generate_dirty_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,6 +205,29 @@ def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(GOLD_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(target)
 
 
+# --- generators --------------------------------------------------------------
+
+
+def _order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders_table(spark, sf_dir).select("o_orderkey")
+
+
+def generated_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One generated clean order per driver order key."""
+    return generate_clean_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey")
+
+
+def generated_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One generated dirty raw order per driver order key."""
+    return generate_dirty_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey")
+
+
+def generated_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow on generated data: dirty source -> Bronze -> Silver -> Gold."""
+    raw = generate_dirty_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey")
+    return gold(silver(bronze(raw, load_time_at=dt.datetime(2026, 1, 1))))
+
+
 def queries() -> dict[str, Query]:
     return {
         "csv_inferred_scan": csv_inferred_scan,
@@ -229,6 +253,9 @@ def queries() -> dict[str, Query]:
         "pipeline_gold": pipeline_gold,
         "publish_layers": publish_layers_counts,
         "export_single_csv": export_gold_csv,
+        "generate_clean_orders": generated_clean_orders,
+        "generate_dirty_orders": generated_dirty_orders,
+        "generated_gold_summary": generated_gold_summary,
     }
 
 

@@ -10,33 +10,43 @@ such dates out.
 from __future__ import annotations
 
 from strata.sources.fixtures import clean_sql, src_sql
+from strata.sources.generate import clean_orders_sql, dirty_orders_sql
 
 SRC = f"({src_sql()})"
 CLEAN = f"({clean_sql()})"
 
 # Silver in DuckDB: the same rules, written independently.
-SILVER = f"""(
-SELECT order_id, customer_id, province, TRY_CAST(amount AS DOUBLE) AS amount,
-       upper(trim(status)) AS status,
-       CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date
-FROM {SRC} s
-WHERE order_id IS NOT NULL AND trim(order_id) <> ''
-  AND TRY_CAST(amount AS DOUBLE) > 0
-  AND NOT isnan(TRY_CAST(amount AS DOUBLE)) AND NOT isinf(TRY_CAST(amount AS DOUBLE))
-)"""
 
-GOLD = f"""
+def gold_sql(silver_sql: str) -> str:
+    return f"""
 SELECT province,
        CAST(count(order_id) AS BIGINT) AS total_orders,
        CAST(trunc(sum(amount)) AS BIGINT) AS total_amount,
        CAST(count(*) FILTER (WHERE status = 'SUCCESS') AS BIGINT) AS success_orders,
        CAST(count(*) FILTER (WHERE status = 'FAILED') AS BIGINT) AS failed_orders
-FROM {SILVER} v
+FROM {silver_sql} v
 GROUP BY province
 ORDER BY total_amount DESC NULLS LAST, province
 """
 
 
+def silver_sql(src: str) -> str:
+    return f"""(
+SELECT order_id, customer_id, province, TRY_CAST(amount AS DOUBLE) AS amount,
+       upper(trim(status)) AS status,
+       CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date
+FROM {src} s
+WHERE order_id IS NOT NULL AND trim(order_id) <> ''
+  AND TRY_CAST(amount AS DOUBLE) > 0
+  AND NOT isnan(TRY_CAST(amount AS DOUBLE)) AND NOT isinf(TRY_CAST(amount AS DOUBLE))
+)"""
+
+
+SILVER = silver_sql(SRC)
+GOLD = gold_sql(SILVER)
+ORDER_KEYS = "SELECT o_orderkey AS id FROM orders"
+
+
 PROVINCE_TOTALS = """
 SELECT province,
        CAST(count(*) AS BIGINT) AS total_orders,
@@ -82,7 +92,8 @@ FROM {SRC} s
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "csv_inferred_scan": f"SELECT * FROM {CLEAN} c",
+        # inference types the id column INTEGER while every value fits
+        "csv_inferred_scan": f"SELECT CAST(order_id AS INTEGER) AS order_id, customer_id, province, amount, status FROM {CLEAN} c",
         "csv_raw_scan": f"""
             SELECT nullif(order_id, '') AS order_id, nullif(customer_id, '') AS customer_id,
                    nullif(province, '') AS province, nullif(amount, '') AS amount,
@@ -116,4 +127,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM {SILVER} v
             UNION ALL SELECT 'gold', CAST(count(*) AS BIGINT) FROM ({GOLD}) g""",
         "export_single_csv": GOLD,
+        "generate_clean_orders": clean_orders_sql(ORDER_KEYS),
+        "generate_dirty_orders": dirty_orders_sql(ORDER_KEYS),
+        "generated_gold_summary": gold_sql(silver_sql(f"({dirty_orders_sql(ORDER_KEYS)})")),
     }

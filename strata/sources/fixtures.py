@@ -50,7 +50,7 @@ SRC_COLUMNS: dict[str, str] = {
 
 # The typed clean projection.
 CLEAN_COLUMNS: dict[str, str] = {
-    "order_id": "CAST(o_orderkey AS INT)",
+    "order_id": "CAST(o_orderkey AS BIGINT)",  # BIGINT: order keys pass 2^31 at scale
     "customer_id": _CUSTOMER,
     "province": _PROVINCE,
     "amount": "CAST(floor(o_totalprice) AS INT)",
