@@ -35,8 +35,9 @@ from strata.session import scratch_path
 from strata.sinks.export import export_single_csv
 from strata.sinks.layers import LAYERS, publish_layers, write_layer
 from strata.sources.files import CSV_KEEP_BLANKS, read_inferred_csv, read_layer, read_raw
-from strata.sources.fixtures import orders_clean, orders_src, orders_table
+from strata.sources.fixtures import orders_clean, orders_src, orders_table, project_src
 from strata.sources.generate import generate_clean_orders, generate_dirty_orders
+from strata.streaming.ingest import ingest_bronze, read_raw_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -205,6 +206,32 @@ def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(GOLD_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(target)
 
 
+# --- streaming ingest --------------------------------------------------------
+
+
+def _stream_ingested_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest the orders file through a file stream into a fresh Bronze layer."""
+    orders = read_raw_stream(
+        spark,
+        sf_dir,
+        schema=orders_table(spark, sf_dir).schema,
+        fmt="parquet",
+        glob="orders.parquet",
+        with_source_file=False,
+    )
+    path = scratch_path(spark, "bronze-stream")
+    ingest_bronze(orders, path, transform=lambda df: project_src(df, with_source_file=True))
+    return read_layer(spark, path)
+
+
+def stream_bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineage_view(_stream_ingested_bronze(spark, sf_dir))
+
+
+def stream_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold(silver(_stream_ingested_bronze(spark, sf_dir)))
+
+
 # --- generators --------------------------------------------------------------
 
 
@@ -253,6 +280,8 @@ def queries() -> dict[str, Query]:
         "pipeline_gold": pipeline_gold,
         "publish_layers": publish_layers_counts,
         "export_single_csv": export_gold_csv,
+        "stream_bronze_ingest": stream_bronze_ingest,
+        "stream_gold_summary": stream_gold_summary,
         "generate_clean_orders": generated_clean_orders,
         "generate_dirty_orders": generated_dirty_orders,
         "generated_gold_summary": generated_gold_summary,

@@ -77,6 +77,11 @@ def orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
 
 
+def project_src(orders: DataFrame, with_source_file: bool = False) -> DataFrame:
+    """The dirty projection of an ``orders`` scan (batch or streaming)."""
+    return _project(orders, SRC_COLUMNS, with_source_file)
+
+
 def _project(orders: DataFrame, columns: dict[str, str], with_source_file: bool) -> DataFrame:
     needed = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"]
     base = orders.select(*needed, *([source_file().alias("source_file")] if with_source_file else []))
