@@ -36,7 +36,7 @@ from strata.sinks.export import export_single_csv
 from strata.sinks.layers import LAYERS, publish_layers, write_layer
 from strata.sources.files import CSV_KEEP_BLANKS, read_inferred_csv, read_layer, read_raw
 from strata.sources.fixtures import orders_clean, orders_src, orders_table, project_src
-from strata.sources.generate import generate_clean_orders, generate_dirty_orders
+from strata.sources.generate import generate_clean_orders, generate_dirty_orders, land_dirty_orders
 from strata.streaming.ingest import ingest_bronze, read_raw_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,9 +250,12 @@ def generated_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def generated_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole flow on generated data: dirty source -> Bronze -> Silver -> Gold."""
-    raw = generate_dirty_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey")
-    return gold(silver(bronze(raw, load_time_at=dt.datetime(2026, 1, 1))))
+    """The whole flow on generated data: the generator lands raw CSV files,
+    then the pipeline loads them into Bronze, Silver and Gold."""
+    landing = scratch_path(spark, "landing")
+    land_dirty_orders(generate_dirty_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey"), landing)
+    result = run_pipeline(spark, landing, scratch_path(spark, "lakehouse"), load_time_at=dt.datetime(2026, 1, 1))
+    return read_layer(spark, result.paths["gold"])
 
 
 def queries() -> dict[str, Query]:

@@ -6,6 +6,11 @@ of an existing table — and every field is a deterministic draw of
 narrow projections: no shuffle, no driver-side loop, same rows under any
 partitioning. ``shuffle=True`` adds a global sort on a hash to scatter rows
 when the physical order of a file matters (a distributed range sort).
+
+Land generated rows as files (:func:`land_dirty_orders`) before reading them
+with filters, as a real source would arrive: chained lazily, the optimizer
+pushes a consumer's filter into the generator's projections and evaluates
+the digests once per reference instead of once per row.
 """
 
 from __future__ import annotations
@@ -102,6 +107,14 @@ def generate_dirty_orders(
     return out.drop("h_order")
 
 
+def land_dirty_orders(df: DataFrame, path: str) -> str:
+    """Write generated raw orders as header CSV files (one per task) at ``path``."""
+    from strata.sources.files import CSV_KEEP_BLANKS
+
+    df.write.mode("errorifexists").option("header", "true").options(**CSV_KEEP_BLANKS).csv(path)
+    return path
+
+
 def clean_orders_sql(ids_sql: str, seed: int = DEFAULT_SEED) -> str:
     """DuckDB twin of :func:`generate_clean_orders` over ``ids_sql`` (column ``id``)."""
     return f"SELECT {', '.join(clean_columns(DUCKDB))} FROM ({hashes_sql(ids_sql, 'id', seed, CLEAN_SLOTS)})"
