@@ -90,6 +90,19 @@ def randint(h: str, lo: int, hi: int) -> str:
     return f"({lo} + {h} % {hi - lo + 1})"
 
 
+def uniform(h: str, lo: float, hi: float) -> str:
+    """Uniform double in [lo, hi): ``lo + u * (hi - lo)`` with ``u = h / 2^32``.
+
+    Every operand is an explicit DOUBLE: a literal like ``4294967296.0`` is a
+    DECIMAL in both SQL dialects, and decimal arithmetic rounds differently.
+    """
+
+    def dbl(x: float | str) -> str:
+        return f"CAST({x} AS DOUBLE)"
+
+    return f"({dbl(lo)} + ({dbl(h)} / {dbl(TWO_32)}) * {dbl(hi - lo)})"
+
+
 def pick(h: str, values: list[str]) -> str:
     """Uniform choice among string literals."""
     whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))

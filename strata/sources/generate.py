@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.functions.draws import DUCKDB, SPARK, Dialect, below, hashes_sql, pick, randint, weighted, with_hashes
+from strata.functions.draws import DUCKDB, SPARK, Dialect, below, hashes_sql, pick, randint, uniform, weighted, with_hashes
 
 DEFAULT_SEED = 42
 
@@ -48,7 +48,8 @@ def clean_columns(d: Dialect) -> list[str]:
         "id + 1 AS order_id",
         f"{_customer('h_customer', d)} AS customer_id",
         f"{pick('h_province', PROVINCES)} AS province",
-        f"CAST({randint('h_amount', *AMOUNT_RANGE)} AS INT) AS amount",
+        # a uniform real amount rounded to whole VND (half away from zero)
+        f"CAST(round({uniform('h_amount', *AMOUNT_RANGE)}, 0) AS INT) AS amount",
         f"{weighted('h_status', STATUSES, CLEAN_STATUS_WEIGHTS)} AS status",
     ]
 
