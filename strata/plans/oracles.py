@@ -129,6 +129,7 @@ def oracle_sql() -> dict[str, str]:
         "export_single_csv": GOLD,
         "stream_bronze_ingest": BRONZE_VIEW,
         "stream_gold_summary": GOLD,
+        "incremental_gold_summary": GOLD,
         "generate_clean_orders": clean_orders_sql(ORDER_KEYS),
         "generate_dirty_orders": dirty_orders_sql(ORDER_KEYS),
         "generated_gold_summary": gold_sql(silver_sql(f"({dirty_orders_sql(ORDER_KEYS)})")),
