@@ -53,10 +53,20 @@ def passes(order_id: str | Column = "order_id", amount: str | Column = "amount")
     return order_id_present(order_id) & amount_valid(amount)
 
 
-def with_reject_reason(df: DataFrame, name: str = "reject_reason") -> DataFrame:
+REASON_COLUMN = "reject_reason"
+
+
+def with_reject_reason(df: DataFrame, name: str = REASON_COLUMN) -> DataFrame:
     return df.withColumn(name, reject_reason())
 
 
+def reason_metrics() -> list[Column]:
+    """Aggregates over a frame carrying ``reject_reason``: row count plus one
+    count per reason (for ``observe()``: counted while the layer is written)."""
+    reason = F.col(REASON_COLUMN)
+    return [F.count(F.lit(1)).alias("bronze")] + [F.count_if(reason == F.lit(r)).alias(r) for r in REASONS]
+
+
 def rejects(bronze_df: DataFrame) -> DataFrame:
     """The rows Silver drops, with all their Bronze columns and the reason."""
     return with_reject_reason(bronze_df).filter(F.col("reject_reason").isNotNull())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import normalise_status, parse_amount, parse_date
-from strata.operators.quality import passes
+from strata.operators.quality import REASON_COLUMN, passes
 
 
 def silver(bronze_df: DataFrame) -> DataFrame:
@@ -22,8 +22,11 @@ def silver(bronze_df: DataFrame) -> DataFrame:
     All of it is one narrow stage (filter + project, no shuffle); the filter
     runs before the projection so parsing happens once per surviving row.
     Lineage columns are not selected, so a Parquet Bronze scan does not read them.
+    When the input already carries ``reject_reason`` (computed once, e.g. to
+    count reasons during a write), the filter just tests it for NULL.
     """
-    return bronze_df.filter(passes()).select(
+    keep = F.col(REASON_COLUMN).isNull() if REASON_COLUMN in bronze_df.columns else passes()
+    return bronze_df.filter(keep).select(
         F.col("order_id"),
         F.col("customer_id"),
         F.col("province"),

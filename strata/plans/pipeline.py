@@ -21,9 +21,9 @@ from strata.operators.quality import (
     AMOUNT_NOT_NUMERIC,
     AMOUNT_NOT_POSITIVE,
     MISSING_ORDER_ID,
-    amount_valid,
-    order_id_present,
-    reject_reason,
+    REASONS,
+    reason_metrics,
+    with_reject_reason,
 )
 from strata.operators.silver import silver
 from strata.schemas import BUSINESS_COLUMNS
@@ -81,19 +81,14 @@ def run_pipeline(
         obs_b = Observation("bronze")
         write_layer(bronze(raw, load_time_at).observe(obs_b, F.count(F.lit(1)).alias("rows")), paths["bronze"])
 
-    # Silver: rules over the Bronze layer; rule outcomes counted during the write.
+    # Silver: rules over the Bronze layer. The reject reason is computed once
+    # per row; its counts are observed during the write and the Silver filter
+    # keeps the rows without one.
     obs_s = None
     if not done("silver"):
         obs_s = Observation("silver")
-        reason = reject_reason()
-        bronze_df = read_layer(spark, paths["bronze"], BUSINESS_COLUMNS).observe(
-            obs_s,
-            F.count(F.lit(1)).alias("bronze"),
-            F.count_if(order_id_present()).alias("after_order_id"),
-            F.count_if(order_id_present() & amount_valid()).alias("after_amount"),
-            *[F.count_if(reason == F.lit(r)).alias(r) for r in (MISSING_ORDER_ID, AMOUNT_NOT_NUMERIC, AMOUNT_NOT_POSITIVE)],
-        )
-        write_layer(silver(bronze_df), paths["silver"])
+        bronze_df = with_reject_reason(read_layer(spark, paths["bronze"], BUSINESS_COLUMNS))
+        write_layer(silver(bronze_df.observe(obs_s, *reason_metrics())), paths["silver"])
 
     # Gold: summary over the Silver layer.
     obs_g = None
@@ -101,14 +96,17 @@ def run_pipeline(
         obs_g = Observation("gold")
         write_layer(gold(read_layer(spark, paths["silver"])).observe(obs_g, F.count(F.lit(1)).alias("rows")), paths["gold"])
 
+    result.rejects = {r: _observed_count(obs_s, r) for r in REASONS}
+    scanned = _observed_count(obs_s, "bronze")
+    after_id = after_amount = None
+    if scanned is not None:
+        after_id = scanned - result.rejects[MISSING_ORDER_ID]
+        after_amount = after_id - result.rejects[AMOUNT_NOT_NUMERIC] - result.rejects[AMOUNT_NOT_POSITIVE]
     result.counts = {
-        "bronze": _observed_count(obs_b, "rows") if obs_b else _observed_count(obs_s, "bronze"),
-        "after_order_id": _observed_count(obs_s, "after_order_id"),
-        "after_amount": _observed_count(obs_s, "after_amount"),
-        "silver": _observed_count(obs_s, "after_amount"),
+        "bronze": _observed_count(obs_b, "rows") if obs_b else scanned,
+        "after_order_id": after_id,
+        "after_amount": after_amount,
+        "silver": after_amount,
         "gold": _observed_count(obs_g, "rows"),
     }
-    result.rejects = {
-        r: _observed_count(obs_s, r) for r in (MISSING_ORDER_ID, AMOUNT_NOT_NUMERIC, AMOUNT_NOT_POSITIVE)
-    }
     return result
