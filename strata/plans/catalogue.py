@@ -30,7 +30,7 @@ from strata.operators.quality import (
 from strata.operators.silver import silver
 from strata.plans.pipeline import run_pipeline
 from strata.plans.sql import sql_province_totals
-from strata.schemas import BUSINESS_COLUMNS, GOLD_SCHEMA, ORDER_COLUMNS, SUCCESS
+from strata.schemas import BUSINESS_COLUMNS, GOLD_SCHEMA, SUCCESS
 from strata.session import scratch_path
 from strata.sinks.export import export_single_csv
 from strata.sinks.layers import LAYERS, publish_layers, write_layer
@@ -317,5 +317,3 @@ def queries() -> dict[str, Query]:
         "generated_gold_summary": generated_gold_summary,
     }
 
-
-__all__ = ["ORDER_COLUMNS", "queries"]
