@@ -54,12 +54,19 @@ def run_pipeline(
     gold_table: str = "order_summary",
     load_time_at: dt.datetime | None = None,
     resume: bool = False,
+    silver_partition_by: list[str] | None = None,
 ) -> PipelineResult:
     """Run all three layers under ``base``; returns paths and stage counts.
 
     ``source`` is a raw DataFrame (all-text business columns, optionally with
     ``source_file``) or a path/glob of raw CSV files. With ``resume`` a layer
     whose output is already complete (``_SUCCESS``) is not rewritten.
+
+    ``silver_partition_by`` (e.g. ``["order_date"]``) writes Silver as a
+    partitioned table so date-range readers prune directories. Each task then
+    writes one file per partition value it holds, so use it with a coarse key
+    and large input splits; off by default. Gold reads Silver back by column
+    name, so the partition column's position does not matter.
     """
     raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
     paths = {
@@ -88,13 +95,18 @@ def run_pipeline(
     if not done("silver"):
         obs_s = Observation("silver")
         bronze_df = with_reject_reason(read_layer(spark, paths["bronze"], BUSINESS_COLUMNS))
-        write_layer(silver(bronze_df.observe(obs_s, *reason_metrics())), paths["silver"])
+        write_layer(
+            silver(bronze_df.observe(obs_s, *reason_metrics())),
+            paths["silver"],
+            partition_by=silver_partition_by,
+        )
 
     # Gold: summary over the Silver layer.
     obs_g = None
     if not done("gold"):
         obs_g = Observation("gold")
-        write_layer(gold(read_layer(spark, paths["silver"])).observe(obs_g, F.count(F.lit(1)).alias("rows")), paths["gold"])
+        silver_df = read_layer(spark, paths["silver"], BUSINESS_COLUMNS)
+        write_layer(gold(silver_df).observe(obs_g, F.count(F.lit(1)).alias("rows")), paths["gold"])
 
     result.rejects = {r: _observed_count(obs_s, r) for r in REASONS}
     scanned = _observed_count(obs_s, "bronze")

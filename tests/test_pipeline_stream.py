@@ -105,3 +105,17 @@ def test_incremental_medallion_matches_batch(spark):
     assert got == batch_gold()
     assert {r[0]: r[1:] for r in got} == GOLD_SF0001
     assert read_layer(spark, paths.bronze).count() == 1500
+
+
+def test_pipeline_with_partitioned_silver(spark):
+    from pyspark.sql import functions as F
+
+    base = scratch_path(spark, "lakehouse")
+    res = run_pipeline(spark, orders_src(spark, SF0001, with_source_file=True), base, silver_partition_by=["order_date"])
+    assert {r.province: tuple(r)[1:] for r in read_layer(spark, res.paths["gold"]).collect()} == GOLD_SF0001
+    s = read_layer(spark, res.paths["silver"], BUSINESS_COLUMNS)
+    assert s.count() == 1303
+    one_day = s.filter(F.col("order_date") == F.lit("1995-06-17").cast("date"))
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan
+    assert s.filter(F.col("order_date").isNull()).count() == 13  # unparseable dates kept

@@ -67,3 +67,19 @@ def test_rules_partition_and_agree_with_duckdb(raw_rows, rows):
     con.register("src", pd.DataFrame(rows, columns=BUSINESS_COLUMNS, dtype=object))
     expected = con.execute(f"SELECT * FROM {silver_sql('(SELECT * FROM src)')}").fetchall()
     assert sorted(s, key=repr) == sorted(expected, key=repr)
+
+
+def test_gold_properties_and_partition_independence(spark):
+    from pyspark.sql import functions as F
+
+    from strata import gold
+    from strata.sources.fixtures import orders_src
+    from tests.conftest import SF001
+
+    s = silver(bronze(orders_src(spark, SF001)))
+    one = [tuple(r) for r in gold(s.repartition(1)).collect()]
+    seven = [tuple(r) for r in gold(s.repartition(7)).collect()]
+    assert one == seven  # same rows, same order
+    assert sum(r[1] for r in one) == s.count()
+    assert all(r[3] + r[4] <= r[1] for r in one)
+    assert s.agg(F.count_if(F.col("order_id").isNull())).collect()[0][0] == 0
