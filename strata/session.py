@@ -25,6 +25,21 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB of raw orders). Pass as
+# ``extra_conf`` or put in the deployment's defaults; nothing here is required.
+CLUSTER_CONF: dict[str, str] = {
+    # ~512 MB input splits: ~200k scan tasks for 100 TB instead of ~800k.
+    "spark.sql.files.maxPartitionBytes": "512m",
+    # Gold/summary shuffles carry (map tasks x keys) rows; AQE coalesces them.
+    "spark.sql.shuffle.partitions": "2000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Layers are written once and read many times: smaller files pay off.
+    "spark.sql.parquet.compression.codec": "zstd",
+    # Task retries before a job fails (lost executors are retried anyway).
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_session(
     app_name: str = "strata",
     master: str | None = None,

@@ -35,8 +35,10 @@ DATE_SPAN_DAYS = 250  # order_date in START_DATE + [0, 250] days
 BLANK_ID_RATE = 15 / 250
 NON_POSITIVE_RATE = 15 / 250
 
-CLEAN_SLOTS = ["customer", "province", "amount", "status"]
-DIRTY_SLOTS = ["fault", "customer", "province", "amount", "group", "variant", "date", "order"]
+# Draw width per slot: 32 bits where the domain is large, 16 for the rest;
+# a dirty row's seven draws fill exactly one md5 digest.
+CLEAN_SLOTS = {"amount": 32, "customer": 16, "province": 16, "status": 16}
+DIRTY_SLOTS = {"amount": 32, "fault": 16, "customer": 16, "province": 16, "group": 16, "variant": 16, "date": 16}
 
 
 def _customer(h: str, d: Dialect) -> str:
@@ -57,7 +59,10 @@ def clean_columns(d: Dialect) -> list[str]:
 def dirty_columns(d: Dialect) -> list[str]:
     blank = below("h_fault", BLANK_ID_RATE)
     non_positive = f"(NOT {blank} AND {below('h_fault', BLANK_ID_RATE + NON_POSITIVE_RATE)})"
-    group = f"(CASE WHEN h_fault < {round((BLANK_ID_RATE + NON_POSITIVE_RATE) * 2**32)} THEN 'SUCCESS' ELSE {weighted('h_group', STATUSES, DIRTY_STATUS_WEIGHTS)} END)"
+    group = (
+        f"(CASE WHEN {below('h_fault', BLANK_ID_RATE + NON_POSITIVE_RATE)} THEN 'SUCCESS' "
+        f"ELSE {weighted('h_group', STATUSES, DIRTY_STATUS_WEIGHTS)} END)"
+    )
     return [
         f"CASE WHEN {blank} THEN '' ELSE {d.to_text('id + 1')} END AS order_id",
         f"{_customer('h_customer', d)} AS customer_id",
@@ -102,10 +107,10 @@ def generate_dirty_orders(
     """Raw all-text orders with injected faults (blank ids, non-positive
     amounts, mixed-case statuses), six columns like a raw source file."""
     base = with_hashes(_ids(spark, n, ids, id_col), "id", seed, DIRTY_SLOTS)
-    out = base.selectExpr(*dirty_columns(SPARK), "h_order")
+    out = base.selectExpr(*dirty_columns(SPARK), f"xxhash64({int(seed)}, id) AS _order")
     if shuffle:
-        out = out.orderBy("h_order")
-    return out.drop("h_order")
+        out = out.orderBy("_order")
+    return out.drop("_order")
 
 
 def land_dirty_orders(df: DataFrame, path: str) -> str:
