@@ -67,11 +67,16 @@ def shared_dir(spark: SparkSession) -> str:
     checkpoint directory, so ``DataFrame.checkpoint()`` and our scratch
     writes land in the same place.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
     else:
