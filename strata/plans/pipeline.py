@@ -40,6 +40,31 @@ class PipelineResult:
     skipped: list[str] = field(default_factory=list)
 
 
+def _norm(path: str) -> str:
+    p = path.rstrip("/")
+    for prefix in ("file://", "file:"):
+        if p.startswith(prefix):
+            p = p[len(prefix):]
+            break
+    return p.replace("//", "/")
+
+
+def _check_no_overlap(source: DataFrame | str | list[str], layer_paths: list[str]) -> None:
+    """Refuse to overwrite a layer the source reads from.
+
+    Spark does not stop this: an overwrite deletes the target first and the
+    job then fails reading it, and the input is gone.
+    """
+    if isinstance(source, (str, list)):
+        inputs = [source] if isinstance(source, str) else list(source)
+    else:
+        inputs = source.inputFiles()
+    for layer in map(_norm, layer_paths):
+        for item in map(_norm, inputs):
+            if item == layer or item.startswith(layer + "/") or layer.startswith(item + "/"):
+                raise ValueError(f"source {item} overlaps layer {layer}; write the layers elsewhere")
+
+
 def _observed_count(obs: Observation | None, key: str) -> int | None:
     if obs is None:
         return None
@@ -68,12 +93,13 @@ def run_pipeline(
     and large input splits; off by default. Gold reads Silver back by column
     name, so the partition column's position does not matter.
     """
-    raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
     paths = {
         "bronze": layer_path(base, "bronze", table),
         "silver": layer_path(base, "silver", table),
         "gold": layer_path(base, "gold", gold_table),
     }
+    _check_no_overlap(source, list(paths.values()))
+    raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
     result = PipelineResult(base=base, paths=paths)
 
     def done(layer: str) -> bool:

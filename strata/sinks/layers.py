@@ -25,7 +25,11 @@ def write_layer(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
 ) -> None:
-    """Write ``df`` as a Parquet layer (overwrite by default: re-runs are idempotent)."""
+    """Write ``df`` as a Parquet layer (overwrite by default: re-runs are idempotent).
+
+    Never overwrite a path ``df`` itself reads from: Spark deletes the target
+    before the job reads it, so the job fails and the input is lost.
+    """
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

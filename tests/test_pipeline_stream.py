@@ -119,3 +119,16 @@ def test_pipeline_with_partitioned_silver(spark):
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date" in plan
     assert s.filter(F.col("order_date").isNull()).count() == 13  # unparseable dates kept
+
+
+def test_pipeline_refuses_source_inside_a_layer(spark):
+    import pytest
+
+    base = scratch_path(spark, "lakehouse")
+    res = run_pipeline(spark, orders_src(spark, SF0001, with_source_file=True), base)
+    with pytest.raises(ValueError):
+        run_pipeline(spark, res.paths["bronze"], base)
+    bronze_df = read_layer(spark, res.paths["bronze"], BUSINESS_COLUMNS)
+    with pytest.raises(ValueError):
+        run_pipeline(spark, bronze_df, base)
+    assert read_layer(spark, res.paths["bronze"]).count() == 1500  # untouched
