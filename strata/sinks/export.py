@@ -8,12 +8,16 @@ target), and the temporary directory is removed.
 
 Everything funnels through one task, so the row count is checked against a
 bound first; large tables belong in a layer (:mod:`strata.sinks.layers`).
+The frame is persisted (memory and disk, on the executors) for the check
+and the write, so an expensive input — Gold over a large Silver — is
+computed once, not twice.
 """
 
 from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from strata.sources.files import CSV_KEEP_BLANKS
@@ -29,18 +33,20 @@ def export_single_csv(
 ) -> str:
     """Write ``df`` (row order kept) to exactly one CSV file at ``final_path``."""
     spark = df.sparkSession
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"export_single_csv is for small results: more than {max_rows} rows")
-
     tmp_dir = f"{final_path}__tmp-{uuid.uuid4().hex}"
-    (
-        df.coalesce(1)
-        .write.mode("errorifexists")
-        .option("header", "true" if header else "false")
-        .options(**CSV_KEEP_BLANKS)
-        .csv(tmp_dir)
-    )
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if df.count() > max_rows:
+            raise ValueError(f"export_single_csv is for small results: more than {max_rows} rows")
+        (
+            df.coalesce(1)
+            .write.mode("errorifexists")
+            .option("header", "true" if header else "false")
+            .options(**CSV_KEEP_BLANKS)
+            .csv(tmp_dir)
+        )
+    finally:
+        df.unpersist()
 
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
