@@ -210,9 +210,8 @@ def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ingest --------------------------------------------------------
 
 
-def _stream_ingested_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingest the orders file through a file stream into a fresh Bronze layer."""
-    orders = read_raw_stream(
+def _orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_raw_stream(
         spark,
         sf_dir,
         schema=orders_table(spark, sf_dir).schema,
@@ -220,8 +219,12 @@ def _stream_ingested_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         glob="orders.parquet",
         with_source_file=False,
     )
+
+
+def _stream_ingested_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingest the orders file through a file stream into a fresh Bronze layer."""
     path = scratch_path(spark, "bronze-stream")
-    ingest_bronze(orders, path, transform=lambda df: project_src(df, with_source_file=True))
+    ingest_bronze(_orders_stream(spark, sf_dir), path, transform=lambda df: project_src(df, with_source_file=True))
     return read_layer(spark, path)
 
 
@@ -233,17 +236,6 @@ def stream_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(silver(_stream_ingested_bronze(spark, sf_dir)))
 
 
-def _orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_raw_stream(
-        spark,
-        sf_dir,
-        schema=orders_table(spark, sf_dir).schema,
-        fmt="parquet",
-        glob="orders.parquet",
-        with_source_file=False,
-    )
-
-
 def incremental_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold maintained incrementally: Bronze, Silver and Gold as checkpointed
     streams; a second run over the same input must change nothing."""
