@@ -72,6 +72,11 @@ def csv_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, path, with_source_file=False)
 
 
+def csv_province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SUCCESS totals over orders read back from CSV with inferred types."""
+    return summaries.province_totals(csv_inferred_scan(spark, sf_dir), status=SUCCESS)
+
+
 # --- part 1: DataFrame and SQL summaries ------------------------------------
 
 
@@ -280,6 +285,7 @@ def queries() -> dict[str, Query]:
     return {
         "csv_inferred_scan": csv_inferred_scan,
         "csv_raw_scan": csv_raw_scan,
+        "csv_province_success_totals": csv_province_success_totals,
         "select_columns": select_columns,
         "filter_success": filter_success,
         "orders_preview": orders_preview,

@@ -99,6 +99,7 @@ def oracle_sql() -> dict[str, str]:
                    nullif(province, '') AS province, nullif(amount, '') AS amount,
                    nullif(status, '') AS status, nullif(order_date, '') AS order_date
             FROM {SRC} s""",
+        "csv_province_success_totals": PROVINCE_TOTALS.format(CLEAN=CLEAN, where="WHERE status = 'SUCCESS'"),
         "select_columns": f"SELECT order_id, province, amount, status FROM {CLEAN} c",
         "filter_success": f"SELECT * FROM {CLEAN} c WHERE status = 'SUCCESS'",
         "orders_preview": f"SELECT * FROM {CLEAN} c ORDER BY order_id LIMIT 10",
