@@ -1,0 +1,70 @@
+"""Physical-plan properties the design relies on (guards against regressions)."""
+
+from __future__ import annotations
+
+import pytest
+
+from strata import bronze, gold, silver
+from strata.operators import summaries
+from strata.operators.quality import stage_counts
+from strata.session import scratch_path
+from strata.sinks.layers import write_layer
+from strata.sources.files import read_layer
+from strata.sources.fixtures import orders_clean, orders_src
+from strata.sources.generate import generate_dirty_orders
+from tests.conftest import SF0001
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _final_plan(df) -> str:
+    df.collect()  # AQE: the final plan exists after execution
+    return _plan(df)
+
+
+@pytest.fixture(scope="module")
+def bronze_layer(spark):
+    path = scratch_path(spark, "bronze")
+    write_layer(bronze(orders_src(spark, SF0001, with_source_file=True)), path)
+    return path
+
+
+def test_gold_prunes_columns_and_aggregates_partially(spark, bronze_layer):
+    plan = _plan(gold(silver(read_layer(spark, bronze_layer))))
+    read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    for unused in ("source_file", "load_time", "customer_id", "order_date"):
+        assert unused not in read_schema
+    assert "IsNotNull(order_id)" in plan
+    assert "partial_count" in plan and "partial_sum" in plan
+    assert plan.count("hashpartitioning(province") == 1
+
+
+def test_silver_is_one_narrow_stage(spark, bronze_layer):
+    plan = _plan(silver(read_layer(spark, bronze_layer)))
+    assert "Exchange" not in plan
+    assert "load_time" not in plan.split("ReadSchema: ")[1].split("\n")[0]
+
+
+def test_status_filter_reaches_parquet_scan(spark):
+    path = scratch_path(spark, "clean")
+    orders_clean(spark, SF0001).write.parquet(path)
+    plan = _plan(summaries.province_totals(read_layer(spark, path), status="SUCCESS"))
+    assert "EqualTo(status,SUCCESS)" in plan
+
+
+def test_stage_counts_have_no_expand(spark, bronze_layer):
+    plan = _final_plan(stage_counts(read_layer(spark, bronze_layer), group_key="province"))
+    assert "Expand" not in plan
+    assert "partial_count" in plan
+
+
+def test_generator_is_narrow(spark):
+    assert "Exchange" not in _plan(generate_dirty_orders(spark, n=1000))
+    assert "Exchange" in _plan(generate_dirty_orders(spark, n=1000, shuffle=True))
+
+
+def test_preview_is_bounded_top_k(spark):
+    plan = _plan(summaries.preview(orders_clean(spark, SF0001), 10))
+    assert "TakeOrderedAndProject(limit=10" in plan
