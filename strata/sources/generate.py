@@ -76,12 +76,18 @@ def dirty_columns(d: Dialect) -> list[str]:
     ]
 
 
+# Rows per generator task when generating from ``n``: tasks stay short however
+# large ``n`` is (``spark.range(n)`` alone makes one task per core).
+ROWS_PER_PARTITION = 5_000_000
+
+
 def _ids(spark: SparkSession, n: int | None, ids: DataFrame | None, id_col: str) -> DataFrame:
     if ids is not None:
         return ids.select(ids[id_col].cast("long").alias("id"))
     if n is None:
         raise ValueError("give n or an id DataFrame")
-    return spark.range(n)
+    parts = max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_PARTITION))
+    return spark.range(0, n, 1, parts)
 
 
 def generate_clean_orders(
