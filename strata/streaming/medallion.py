@@ -27,17 +27,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.gold import gold
+from strata.operators.quality import (
+    AMOUNT_NOT_NUMERIC,
+    AMOUNT_NOT_POSITIVE,
+    MISSING_ORDER_ID,
+    REASONS,
+    reason_metrics,
+    with_reject_reason,
+)
 from strata.operators.silver import silver
 from strata.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from strata.sinks.layers import layer_path
 from strata.streaming.ingest import checkpoint_for, ingest_bronze, read_raw_stream
 
 
+SILVER_METRICS = "silver_rule_counts"
+
+
 def refine_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append Silver rows for Bronze files not processed before."""
-    stream = spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_path)
+    """Append Silver rows for Bronze files not processed before.
+
+    Each micro-batch observes its row count per reject reason
+    (``observedMetrics[SILVER_METRICS]`` in the query progress).
+    """
+    stream = with_reject_reason(spark.readStream.schema(BRONZE_SCHEMA).parquet(bronze_path))
     query = (
-        silver(stream)
+        silver(stream.observe(SILVER_METRICS, *reason_metrics()))
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", silver_path)
@@ -94,6 +109,28 @@ class IncrementalPaths:
     bronze: str
     silver: str
     gold: str
+    # Rows this run moved from Bronze to Silver, per stage and per reason
+    # (None when more batches ran than the query keeps progress for).
+    counts: dict[str, int] | None = None
+    rejects: dict[str, int] | None = None
+
+
+def _run_counts(spark: SparkSession, query: StreamingQuery) -> tuple[dict[str, int], dict[str, int]] | None:
+    """Sum the observed reason counts over the batches of one finished run."""
+    progress = query.recentProgress
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(progress) >= kept:
+        return None  # older progress updates of this run were dropped
+    totals = {"bronze": 0, **{r: 0 for r in REASONS}}
+    for p in progress:
+        metrics = p.get("observedMetrics", {}).get(SILVER_METRICS)
+        if metrics is not None and p.get("numInputRows", 0) > 0:
+            for k in totals:
+                totals[k] += int(metrics[k])
+    after_id = totals["bronze"] - totals[MISSING_ORDER_ID]
+    after_amount = after_id - totals[AMOUNT_NOT_NUMERIC] - totals[AMOUNT_NOT_POSITIVE]
+    counts = {"bronze": totals["bronze"], "after_order_id": after_id, "after_amount": after_amount, "silver": after_amount}
+    return counts, {r: totals[r] for r in REASONS}
 
 
 def run_incremental(
@@ -118,6 +155,8 @@ def run_incremental(
     )
     raw = read_raw_stream(spark, raw_stream) if isinstance(raw_stream, str) else raw_stream
     ingest_bronze(raw, paths.bronze, load_time_at=load_time_at, transform=transform)
-    refine_silver(spark, paths.bronze, paths.silver)
+    counted = _run_counts(spark, refine_silver(spark, paths.bronze, paths.silver))
+    if counted is not None:
+        paths.counts, paths.rejects = counted
     maintain_gold(spark, paths.silver, paths.gold)
     return paths

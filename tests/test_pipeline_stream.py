@@ -98,9 +98,14 @@ def test_incremental_medallion_matches_batch(spark):
 
     paths = run_incremental(spark, read_raw_stream(spark, f"{landing}/*"), base)
     assert {tuple(r) for r in read_layer(spark, paths.gold).collect()} == batch_gold()
+    n_first = first.count()
+    assert paths.counts["bronze"] == n_first
+    assert paths.counts["silver"] == read_layer(spark, paths.silver).count()
 
     second.write.option("header", "true").csv(f"{landing}/part=2")
     paths = run_incremental(spark, read_raw_stream(spark, f"{landing}/*"), base)
+    assert paths.counts["bronze"] == 1500 - n_first  # only the new file
+    assert sum(paths.rejects.values()) + paths.counts["silver"] == 1500 - n_first
     got = {tuple(r) for r in read_layer(spark, paths.gold).collect()}
     assert got == batch_gold()
     assert {r[0]: r[1:] for r in got} == GOLD_SF0001
