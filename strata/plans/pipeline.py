@@ -98,6 +98,8 @@ def run_pipeline(
         "silver": layer_path(base, "silver", table),
         "gold": layer_path(base, "gold", gold_table),
     }
+    if isinstance(source, DataFrame) and source.isStreaming:
+        raise ValueError("run_pipeline takes a batch source; use strata.streaming.medallion.run_incremental")
     _check_no_overlap(source, list(paths.values()))
     raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
     result = PipelineResult(base=base, paths=paths)

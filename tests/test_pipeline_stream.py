@@ -137,3 +137,12 @@ def test_pipeline_refuses_source_inside_a_layer(spark):
     with pytest.raises(ValueError):
         run_pipeline(spark, bronze_df, base)
     assert read_layer(spark, res.paths["bronze"]).count() == 1500  # untouched
+
+
+def test_pipeline_rejects_streaming_source(spark):
+    import pytest
+
+    landing = scratch_path(spark, "landing")
+    orders_src(spark, SF0001).write.option("header", "true").csv(landing)
+    with pytest.raises(ValueError, match="run_incremental"):
+        run_pipeline(spark, read_raw_stream(spark, landing), scratch_path(spark, "lakehouse"))
