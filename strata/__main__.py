@@ -40,9 +40,9 @@ def cmd_pipeline(args) -> dict:
     from strata.sources.files import read_layer
 
     spark = _session(args)
-    res = run_pipeline(spark, args.source, args.base, resume=args.resume)
+    res = run_pipeline(spark, args.source, args.base, resume=args.resume, stop_after=args.stop_after)
     out = {"paths": res.paths, "counts": res.counts, "rejects": res.rejects, "skipped": res.skipped}
-    if args.export_gold:
+    if args.export_gold and args.stop_after == "gold":
         out["gold_csv"] = export_single_csv(read_layer(spark, res.paths["gold"]), args.export_gold)
     return out
 
@@ -95,6 +95,10 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--base", required=True, help="base URI of the layers")
     r.add_argument("--resume", action="store_true", help="skip layers already written")
     r.add_argument("--export-gold", default=None, help="also write Gold as one CSV file here")
+    r.add_argument(
+        "--stop-after", default="gold", choices=["bronze", "silver", "gold"],
+        help="end after this layer (run the next one later with --resume)",
+    )
     r.set_defaults(run=cmd_pipeline)
 
     i = sub.add_parser("incremental", help="layers kept current from a landing folder")

@@ -26,7 +26,7 @@ from strata.operators.quality import (
     with_reject_reason,
 )
 from strata.operators.silver import silver
-from strata.schemas import BUSINESS_COLUMNS
+from strata.schemas import BUSINESS_COLUMNS, check_layer_schema
 from strata.sinks.layers import layer_complete, layer_path, write_layer
 from strata.sources.files import read_layer, read_raw
 
@@ -80,12 +80,17 @@ def run_pipeline(
     load_time_at: dt.datetime | None = None,
     resume: bool = False,
     silver_partition_by: list[str] | None = None,
+    stop_after: str = "gold",
 ) -> PipelineResult:
     """Run all three layers under ``base``; returns paths and stage counts.
 
     ``source`` is a raw DataFrame (all-text business columns, optionally with
     ``source_file``) or a path/glob of raw CSV files. With ``resume`` a layer
-    whose output is already complete (``_SUCCESS``) is not rewritten.
+    whose output is already complete (``_SUCCESS``) and has the layer's schema
+    is not rewritten; a complete layer with another schema raises.
+    ``stop_after`` ("bronze", "silver" or "gold") ends the run after that
+    layer, so a scheduler can run the layers as separate tasks (each later
+    task with ``resume``).
 
     ``silver_partition_by`` (e.g. ``["order_date"]``) writes Silver as a
     partitioned table so date-range readers prune directories. Each task then
@@ -104,8 +109,15 @@ def run_pipeline(
     raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
     result = PipelineResult(base=base, paths=paths)
 
+    if stop_after not in paths:
+        raise ValueError(f"stop_after must be one of {list(paths)}")
+    wanted = list(paths)[: list(paths).index(stop_after) + 1]
+
     def done(layer: str) -> bool:
+        if layer not in wanted:
+            return True
         if resume and layer_complete(spark, paths[layer]):
+            check_layer_schema(read_layer(spark, paths[layer]).schema, layer, ordered=False)
             result.skipped.append(layer)
             return True
         return False

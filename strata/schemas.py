@@ -95,3 +95,18 @@ FAILED = "FAILED"
 
 # Date format of order_date in the raw source.
 ORDER_DATE_FORMAT = "yyyy-MM-dd"
+
+
+LAYER_SCHEMAS: dict[str, StructType] = {"bronze": BRONZE_SCHEMA, "silver": SILVER_SCHEMA, "gold": GOLD_SCHEMA}
+
+
+def check_layer_schema(schema: StructType, layer: str, ordered: bool = True) -> None:
+    """Raise unless ``schema`` has exactly the layer's column names and types
+    (in order, unless ``ordered`` is false: a partitioned table reads back
+    with its partition columns last)."""
+    expected = [(f.name, f.dataType) for f in LAYER_SCHEMAS[layer].fields]
+    actual = [(f.name, f.dataType) for f in schema.fields]
+    if not ordered:
+        expected, actual = sorted(expected, key=str), sorted(actual, key=str)
+    if actual != expected:
+        raise ValueError(f"{layer} layer schema mismatch: expected {expected}, found {actual}")

@@ -146,3 +146,32 @@ def test_pipeline_rejects_streaming_source(spark):
     orders_src(spark, SF0001).write.option("header", "true").csv(landing)
     with pytest.raises(ValueError, match="run_incremental"):
         run_pipeline(spark, read_raw_stream(spark, landing), scratch_path(spark, "lakehouse"))
+
+
+def test_pipeline_layer_by_layer_and_contract_on_resume(spark):
+    import pytest
+
+    base = scratch_path(spark, "lakehouse")
+    src = orders_src(spark, SF0001, with_source_file=True)
+    first = run_pipeline(spark, src, base, stop_after="bronze")
+    assert first.counts["bronze"] == 1500 and first.counts["silver"] is None
+    second = run_pipeline(spark, src, base, resume=True, stop_after="silver")
+    assert second.skipped == ["bronze"] and second.counts["silver"] == 1303
+    third = run_pipeline(spark, src, base, resume=True)
+    assert third.skipped == ["bronze", "silver"]
+    assert {r.province: tuple(r)[1:] for r in read_layer(spark, third.paths["gold"]).collect()} == GOLD_SF0001
+
+    # A complete but foreign table at a layer path is not silently reused.
+    other = scratch_path(spark, "lakehouse")
+    spark.range(3).write.parquet(f"{other}/bronze/orders")
+    with pytest.raises(ValueError, match="bronze layer schema mismatch"):
+        run_pipeline(spark, src, other, resume=True)
+
+
+def test_resume_accepts_partitioned_silver(spark):
+    base = scratch_path(spark, "lakehouse")
+    src = orders_src(spark, SF0001, with_source_file=True)
+    run_pipeline(spark, src, base, silver_partition_by=["order_date"], stop_after="silver")
+    res = run_pipeline(spark, src, base, resume=True)
+    assert res.skipped == ["bronze", "silver"]
+    assert {r.province: tuple(r)[1:] for r in read_layer(spark, res.paths["gold"]).collect()} == GOLD_SF0001
