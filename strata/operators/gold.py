@@ -20,10 +20,11 @@ GOLD_STATUS_COUNTS: dict[str, str] = {"success_orders": SUCCESS, "failed_orders"
 def exact_total(amount: str | Column) -> Column:
     """Sum of a double amount, truncated to a long.
 
-    The sum runs over ``decimal(38,6)``: exact and independent of row order
-    and partitioning (a double sum of whole amounts stops being exact past
-    2^53, which a large table reaches). The cast to long truncates, and under
-    ANSI it raises on overflow instead of returning a silent NULL.
+    The sum runs over ``decimal(38,6)``: each amount is taken to six decimal
+    places and the sum is then exact and independent of row order and
+    partitioning (a double sum of whole amounts stops being exact past 2^53,
+    which a large table reaches). The cast to long truncates, and under ANSI
+    it raises on overflow instead of returning a silent NULL.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
     return F.sum(amount.cast("decimal(38,6)")).cast("long")
