@@ -51,7 +51,7 @@ def cmd_incremental(args) -> dict:
     from strata.streaming.medallion import run_incremental
 
     spark = _session(args)
-    paths = run_incremental(spark, args.landing, args.base)
+    paths = run_incremental(spark, args.landing, args.base, archive_dir=args.archive)
     return {"bronze": paths.bronze, "silver": paths.silver, "gold": paths.gold, "counts": paths.counts, "rejects": paths.rejects}
 
 
@@ -104,6 +104,7 @@ def main(argv: list[str] | None = None) -> int:
     i = sub.add_parser("incremental", help="layers kept current from a landing folder")
     i.add_argument("--landing", required=True)
     i.add_argument("--base", required=True)
+    i.add_argument("--archive", default=None, help="move processed landing files here")
     i.set_defaults(run=cmd_incremental)
 
     s = sub.add_parser("summaries", help="per-province summaries of a typed order CSV")

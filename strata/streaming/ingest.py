@@ -32,8 +32,16 @@ def read_raw_stream(
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
     with_source_file: bool = True,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """Streaming counterpart of :func:`strata.sources.files.read_raw`."""
+    """Streaming counterpart of :func:`strata.sources.files.read_raw`.
+
+    ``archive_dir`` moves processed files out of the landing folder (Spark's
+    ``cleanSource=archive``), so the folder listed at every trigger stays
+    small however many files have arrived over time. Files move once the
+    batch after theirs commits, i.e. one run later; the archive must lie
+    outside the landing path.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true").option("enforceSchema", "false").options(**CSV_KEEP_BLANKS)
@@ -41,6 +49,8 @@ def read_raw_stream(
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.load(path)
     if not with_source_file:
         return df

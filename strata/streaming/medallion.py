@@ -141,19 +141,23 @@ def run_incremental(
     gold_table: str = "order_summary",
     load_time_at: dt.datetime | None = None,
     transform=None,
+    archive_dir: str | None = None,
 ) -> IncrementalPaths:
     """Landing -> Bronze -> Silver -> Gold, each step incremental.
 
     ``raw_stream`` is a streaming raw DataFrame or a landing folder of raw
-    CSV files. Safe to call repeatedly: every call picks up where the last
-    one stopped.
+    CSV files (``archive_dir`` then moves processed files out of it). Safe to
+    call repeatedly: every call picks up where the last one stopped.
     """
     paths = IncrementalPaths(
         bronze=layer_path(base, "bronze", table),
         silver=layer_path(base, "silver", table),
         gold=layer_path(base, "gold", gold_table),
     )
-    raw = read_raw_stream(spark, raw_stream) if isinstance(raw_stream, str) else raw_stream
+    if isinstance(raw_stream, str):
+        raw = read_raw_stream(spark, raw_stream, archive_dir=archive_dir)
+    else:
+        raw = raw_stream
     ingest_bronze(raw, paths.bronze, load_time_at=load_time_at, transform=transform)
     counted = _run_counts(spark, refine_silver(spark, paths.bronze, paths.silver))
     if counted is not None:

@@ -175,3 +175,23 @@ def test_resume_accepts_partitioned_silver(spark):
     res = run_pipeline(spark, src, base, resume=True)
     assert res.skipped == ["bronze", "silver"]
     assert {r.province: tuple(r)[1:] for r in read_layer(spark, res.paths["gold"]).collect()} == GOLD_SF0001
+
+
+def test_incremental_archives_processed_files(spark):
+    from strata.streaming.medallion import run_incremental
+
+    root = scratch_path(spark, "archiving")
+    local = root[len("file:"):] if root.startswith("file:") else root
+    os.makedirs(f"{local}/landing")
+    header = "order_id,customer_id,province,amount,status,order_date\n"
+    for i in range(3):
+        with open(f"{local}/landing/f{i}.csv", "w") as f:
+            f.write(header + f"{i + 1},CUS001,Hanoi,100,SUCCESS,2026-01-01\n")
+    run_incremental(spark, f"{root}/landing", f"{root}/lake", archive_dir=f"{root}/archive")
+    with open(f"{local}/landing/f9.csv", "w") as f:
+        f.write(header + "9,CUS001,HCM,5,failed,2026-01-02\n")
+    paths = run_incremental(spark, f"{root}/landing", f"{root}/lake", archive_dir=f"{root}/archive")
+    assert sorted(os.listdir(f"{local}/landing")) == ["f9.csv"]  # earlier files moved out
+    assert read_layer(spark, paths.bronze).count() == 4
+    got = {r.province: tuple(r)[1:] for r in read_layer(spark, paths.gold).collect()}
+    assert got == {"Hanoi": (3, 300, 3, 0), "HCM": (1, 5, 0, 1)}
