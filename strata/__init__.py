@@ -11,12 +11,14 @@ from strata.operators.gold import gold, summarise
 from strata.operators.quality import rejects, reject_reason, with_reject_reason
 from strata.operators.silver import silver
 from strata.plans.pipeline import PipelineResult, run_pipeline
+from strata.streaming.medallion import run_incremental
 
 __all__ = [
     "bronze",
     "gold",
     "rejects",
     "reject_reason",
+    "run_incremental",
     "run_pipeline",
     "PipelineResult",
     "silver",
