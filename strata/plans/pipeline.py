@@ -26,7 +26,7 @@ from strata.operators.quality import (
     with_reject_reason,
 )
 from strata.operators.silver import silver
-from strata.schemas import BUSINESS_COLUMNS, check_layer_schema
+from strata.schemas import BRONZE_SCHEMA, BUSINESS_COLUMNS, SILVER_SCHEMA, check_layer_schema
 from strata.sinks.layers import layer_complete, layer_path, write_layer
 from strata.sources.files import read_layer, read_raw
 
@@ -134,7 +134,7 @@ def run_pipeline(
     obs_s = None
     if not done("silver"):
         obs_s = Observation("silver")
-        bronze_df = with_reject_reason(read_layer(spark, paths["bronze"], BUSINESS_COLUMNS))
+        bronze_df = with_reject_reason(read_layer(spark, paths["bronze"], BUSINESS_COLUMNS, schema=BRONZE_SCHEMA))
         write_layer(
             silver(bronze_df.observe(obs_s, *reason_metrics())),
             paths["silver"],
@@ -145,7 +145,7 @@ def run_pipeline(
     obs_g = None
     if not done("gold"):
         obs_g = Observation("gold")
-        silver_df = read_layer(spark, paths["silver"], BUSINESS_COLUMNS)
+        silver_df = read_layer(spark, paths["silver"], BUSINESS_COLUMNS, schema=SILVER_SCHEMA)
         write_layer(gold(silver_df).observe(obs_g, F.count(F.lit(1)).alias("rows")), paths["gold"])
 
     result.rejects = {r: _observed_count(obs_s, r) for r in REASONS}

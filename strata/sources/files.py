@@ -65,7 +65,17 @@ def read_inferred_csv(spark: SparkSession, path: str | list[str], sampling_ratio
     return reader.csv(path)
 
 
-def read_layer(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """Read a Parquet layer back; a column list prunes the scan (``ReadSchema``)."""
-    df = spark.read.parquet(path)
+def read_layer(
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Read a Parquet layer back; a column list prunes the scan (``ReadSchema``).
+
+    A known ``schema`` (the layer contract) skips the footer-reading job that
+    schema inference runs.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df
