@@ -175,7 +175,7 @@ def gold_order_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold(silver(_bronze(spark, sf_dir)))
 
 
-def pipeline_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layered_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = run_pipeline(
         spark,
         orders_src(spark, sf_dir, with_source_file=True),
@@ -304,7 +304,7 @@ def queries() -> dict[str, Query]:
         "silver_reject_reasons": silver_reject_reasons,
         "layer_row_counts": layer_row_counts,
         "gold_order_summary": gold_order_summary,
-        "pipeline_gold": pipeline_gold,
+        "layered_gold_summary": layered_gold_summary,
         "publish_layers": publish_layers_counts,
         "export_single_csv": export_gold_csv,
         "stream_bronze_ingest": stream_bronze_ingest,

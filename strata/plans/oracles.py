@@ -122,7 +122,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ({REJECTS}) r WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
         "layer_row_counts": LAYER_ROW_COUNTS,
         "gold_order_summary": GOLD,
-        "pipeline_gold": GOLD,
+        "layered_gold_summary": GOLD,
         "publish_layers": f"""
             SELECT 'bronze' AS layer, CAST(count(*) AS BIGINT) AS n FROM {SRC} s
             UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM {SILVER} v
