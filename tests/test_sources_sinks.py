@@ -121,3 +121,18 @@ def test_publish_layers(spark):
     paths = publish_layers({"gold": spark.range(3)}, base, tables={"gold": "order_summary"})
     assert paths["gold"] == f"{base}/gold/order_summary"
     assert read_layer(spark, paths["gold"]).count() == 3
+
+
+def test_crlf_files_parse_like_lf(spark):
+    from strata import bronze, silver
+
+    d = _write_text(
+        spark,
+        "crlf",
+        "order_id,customer_id,province,amount,status,order_date\r\n"
+        "1,CUS001,Hanoi,100,SUCCESS,2026-01-01\r\n"
+        "2,CUS002,HCM,5,failed,2026-02-03\r\n",
+    )
+    rows = silver(bronze(read_raw(spark, d))).orderBy("order_id").collect()
+    assert [str(r.order_date) for r in rows] == ["2026-01-01", "2026-02-03"]
+    assert [r.status for r in rows] == ["SUCCESS", "FAILED"]
