@@ -1,5 +1,6 @@
 """Command line: ``python -m strata <command>`` (or ``spark-submit -m``-style).
 
+    sample       the built-in 8-row sample table: rows, SUCCESS rows, per-province totals
     generate     write generated raw orders as CSV files (dirty or clean)
     pipeline     source -> Bronze -> Silver -> Gold Parquet layers under a base URI
     incremental  the same, processing only files not seen by earlier runs
@@ -22,6 +23,21 @@ def _session(args):
     return get_session(app_name=f"strata-{args.command}", master=args.master)
 
 
+def cmd_sample(args) -> dict:
+    from strata.operators import summaries
+    from strata.sinks.export import export_single_csv
+    from strata.sources.literal import sample_orders
+
+    spark = _session(args)
+    orders = sample_orders(spark)
+    out = args.out.rstrip("/")
+    return {
+        "orders": export_single_csv(orders.orderBy("order_id"), f"{out}/sample_orders.csv"),
+        "success": export_single_csv(summaries.filter_status(orders).orderBy("order_id"), f"{out}/sample_success.csv"),
+        "by_province": export_single_csv(summaries.province_totals(orders, "SUCCESS"), f"{out}/sample_by_province.csv"),
+    }
+
+
 def cmd_generate(args) -> dict:
     from strata.sources.generate import generate_clean_orders, generate_dirty_orders, land_dirty_orders
 
@@ -36,7 +52,7 @@ def cmd_generate(args) -> dict:
 
 def cmd_pipeline(args) -> dict:
     from strata.plans.pipeline import run_pipeline
-    from strata.sinks.export import export_single_csv
+    from strata.sinks.export import export_layers_csv, export_single_csv
     from strata.sources.files import read_layer
 
     spark = _session(args)
@@ -44,6 +60,9 @@ def cmd_pipeline(args) -> dict:
     out = {"paths": res.paths, "counts": res.counts, "rejects": res.rejects, "skipped": res.skipped}
     if args.export_gold and args.stop_after == "gold":
         out["gold_csv"] = export_single_csv(read_layer(spark, res.paths["gold"]), args.export_gold)
+    if args.export_csv:
+        done = {k: v for k, v in res.paths.items() if k in res.skipped or res.counts.get(k) is not None}
+        out["csv"] = export_layers_csv(spark, done, args.export_csv)
     return out
 
 
@@ -82,6 +101,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit / defaults)")
     sub = p.add_subparsers(dest="command", required=True)
 
+    m = sub.add_parser("sample", help="the built-in sample table and its summaries as CSV files")
+    m.add_argument("--out", required=True)
+    m.set_defaults(run=cmd_sample)
+
     g = sub.add_parser("generate", help="write generated raw orders as CSV")
     g.add_argument("--rows", type=int, required=True)
     g.add_argument("--out", required=True)
@@ -95,6 +118,7 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--base", required=True, help="base URI of the layers")
     r.add_argument("--resume", action="store_true", help="skip layers already written")
     r.add_argument("--export-gold", default=None, help="also write Gold as one CSV file here")
+    r.add_argument("--export-csv", default=None, help="also write CSV copies of the layers under this folder")
     r.add_argument(
         "--stop-after", default="gold", choices=["bronze", "silver", "gold"],
         help="end after this layer (run the next one later with --resume)",

@@ -66,3 +66,24 @@ def export_single_csv(
     fc.rename(parts[0], target, opts)
     fs.delete(tmp, True)
     return final_path
+
+
+def export_layers_csv(spark, paths: dict[str, str], out_base: str, gold_name: str = "order_summary.csv") -> dict[str, str]:
+    """CSV copies of the layers under ``out_base``.
+
+    Bronze and Silver become directories of part files written in parallel
+    (blanks kept; CSV cannot tell an empty string from NULL, so a read-back
+    turns '' into NULL); Gold, a handful of rows, becomes one named file.
+    """
+    from strata.sources.files import CSV_KEEP_BLANKS as keep, read_layer
+
+    out = out_base.rstrip("/")
+    written: dict[str, str] = {}
+    for layer in ("bronze", "silver"):
+        if layer in paths:
+            target = f"{out}/{layer}/orders"
+            read_layer(spark, paths[layer]).write.mode("overwrite").option("header", "true").options(**keep).csv(target)
+            written[layer] = target
+    if "gold" in paths:
+        written["gold"] = export_single_csv(read_layer(spark, paths["gold"]), f"{out}/gold/{gold_name}")
+    return written

@@ -37,3 +37,23 @@ def test_generate_pipeline_and_summaries(tmp_path):
     with open(written["by_province_all_sql"]) as f:
         rows = f.read().splitlines()[1:]
     assert sum(int(r.split(",")[1]) for r in rows) == 500
+
+
+def test_sample_and_layer_csv_exports(tmp_path):
+    out = _run("sample", "--out", str(tmp_path / "sample"))
+    with open(out["by_province"]) as f:
+        assert f.read().splitlines() == [
+            "province,total_orders,total_amount", "HCM,1,2000000", "Hanoi,3,1750000", "CanTho,1,400000",
+        ]
+    with open(out["success"]) as f:
+        assert len(f.read().splitlines()) == 6
+
+    raw = str(tmp_path / "landing")
+    _run("generate", "--rows", "800", "--out", raw)
+    res = _run("pipeline", "--source", raw, "--base", str(tmp_path / "lake"), "--export-csv", str(tmp_path / "csv"))
+    assert sorted(res["csv"]) == ["bronze", "gold", "silver"]
+    parts = [p for p in os.listdir(res["csv"]["silver"]) if p.startswith("part-")]
+    n = sum(len(open(os.path.join(res["csv"]["silver"], p)).read().splitlines()) - 1 for p in parts)
+    assert n == res["counts"]["silver"]
+    with open(res["csv"]["gold"]) as f:
+        assert len(f.read().splitlines()) == 6
