@@ -1,0 +1,79 @@
+"""Lose an executor while the pipeline writes Bronze; print one JSON line.
+
+Runs on Spark's ``local-cluster`` master (separate executor JVMs) in its own
+process. A test-only pandas UDF makes each Bronze-writing task take about a
+second; a thread kills executor 0 while the first wave runs. The job must
+finish on the remaining executor with exact results and counts.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+import sys
+import threading
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+import pandas as pd  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import StringType  # noqa: E402
+
+from strata.plans.pipeline import run_pipeline  # noqa: E402
+from strata.session import get_session, scratch_path  # noqa: E402
+from strata.sources.files import read_layer  # noqa: E402
+from strata.sources.fixtures import orders_src  # noqa: E402
+
+
+@F.pandas_udf(StringType())
+def slow_identity(values: pd.Series) -> pd.Series:
+    # Test-only: stretch each task so the executor loss hits running work.
+    time.sleep(1.0)
+    return values
+
+
+def main() -> None:
+    spark = get_session(
+        app_name="strata-executor-loss",
+        master="local-cluster[2,2,1024]",
+        shuffle_partitions=4,
+        extra_conf={"spark.executor.memory": "900m"},
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    sc = spark.sparkContext
+    src = orders_src(spark, sys.argv[1], with_source_file=True)
+    slow = src.repartition(8, "order_id").withColumn("customer_id", slow_identity("customer_id"))
+
+    def kill_while_bronze_runs() -> None:
+        # Wait for the 8-task Bronze-writing stage to have running tasks.
+        st = sc.statusTracker()
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            infos = [st.getStageInfo(s) for s in st.getActiveStageIds()]
+            if any(i and i.numTasks == 8 and i.numActiveTasks > 0 for i in infos):
+                time.sleep(0.3)
+                sc._jsc.sc().killExecutor("0")
+                return
+            time.sleep(0.05)
+
+    killer = threading.Thread(target=kill_while_bronze_runs, daemon=True)
+    sc.setJobGroup("pipeline", "pipeline under executor loss")
+    killer.start()
+    res = run_pipeline(spark, slow, scratch_path(spark, "lakehouse-executor-loss"))
+    killer.join()
+    st = sc.statusTracker()
+    failed = 0
+    for job in st.getJobIdsForGroup("pipeline"):
+        for stage in st.getJobInfo(job).stageIds:
+            info = st.getStageInfo(stage)
+            failed += info.numFailedTasks if info else 0
+    gold = {r.province: list(r)[1:] for r in read_layer(spark, res.paths["gold"]).collect()}
+    executors = [e for e in sc._jsc.sc().getExecutorIds().mkString(",").split(",") if e]
+    print(json.dumps({"counts": res.counts, "rejects": res.rejects, "gold": gold,
+                      "failed_tasks": failed, "executors_left": executors}))
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
