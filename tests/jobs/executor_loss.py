@@ -1,9 +1,13 @@
-"""Lose an executor while the pipeline writes Bronze; print one JSON line.
+"""Lose executors mid-job; print one JSON line.
 
 Runs on Spark's ``local-cluster`` master (separate executor JVMs) in its own
-process. A test-only pandas UDF makes each Bronze-writing task take about a
-second; a thread kills executor 0 while the first wave runs. The job must
-finish on the remaining executor with exact results and counts.
+process. A test-only pandas UDF makes each task take about a second.
+
+1. Executor 0 is killed while the pipeline writes Bronze: its running tasks
+   must be rerun elsewhere, with exact results and observed counts.
+2. Executor 1 is killed while Gold's partial-aggregation (shuffle map) stage
+   is in its second wave, after some of its map outputs were written: Spark
+   must recompute the lost outputs, and Gold must still be exact.
 """
 
 from __future__ import annotations
@@ -17,61 +21,95 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import pandas as pd  # noqa: E402
+from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import StringType  # noqa: E402
 
+from strata import bronze, gold, silver  # noqa: E402
 from strata.plans.pipeline import run_pipeline  # noqa: E402
 from strata.session import get_session, scratch_path  # noqa: E402
 from strata.sources.files import read_layer  # noqa: E402
 from strata.sources.fixtures import orders_src  # noqa: E402
 
 
+MARKERS = sys.argv[2] if len(sys.argv) > 2 else None
+
+
 @F.pandas_udf(StringType())
 def slow_identity(values: pd.Series) -> pd.Series:
-    # Test-only: stretch each task so the executor loss hits running work.
+    # Test-only: stretch each task so the executor loss hits running work,
+    # and record every task attempt (a rerun shows as a second attempt id).
+    ctx = TaskContext.get()
+    if MARKERS:
+        name = f"stage{ctx.stageId()}-part{ctx.partitionId()}-attempt{ctx.taskAttemptId()}"
+        open(os.path.join(MARKERS, name), "w").close()
     time.sleep(1.0)
     return values
 
 
+def _failed_tasks(sc, group: str) -> int:
+    st = sc.statusTracker()
+    failed = 0
+    for job in st.getJobIdsForGroup(group):
+        for stage in st.getJobInfo(job).stageIds:
+            info = st.getStageInfo(stage)
+            failed += info.numFailedTasks if info else 0
+    return failed
+
+
 def main() -> None:
     spark = get_session(
         app_name="strata-executor-loss",
-        master="local-cluster[2,2,1024]",
+        master="local-cluster[3,2,1024]",
         shuffle_partitions=4,
-        extra_conf={"spark.executor.memory": "900m"},
+        extra_conf={"spark.executor.memory": "900m", "spark.locality.wait": "0"},
     )
     spark.sparkContext.setLogLevel("OFF")
     sc = spark.sparkContext
     src = orders_src(spark, sys.argv[1], with_source_file=True)
     slow = src.repartition(8, "order_id").withColumn("customer_id", slow_identity("customer_id"))
 
-    def kill_while_bronze_runs() -> None:
-        # Wait for the 8-task Bronze-writing stage to have running tasks.
-        st = sc.statusTracker()
-        deadline = time.time() + 120
-        while time.time() < deadline:
-            infos = [st.getStageInfo(s) for s in st.getActiveStageIds()]
-            if any(i and i.numTasks == 8 and i.numActiveTasks > 0 for i in infos):
-                time.sleep(0.3)
-                sc._jsc.sc().killExecutor("0")
-                return
-            time.sleep(0.05)
-
-    killer = threading.Thread(target=kill_while_bronze_runs, daemon=True)
+    def kill_when(executor: str, tasks: int, completed: int, busy: int) -> threading.Thread:
+        """Kill ``executor`` once a ``tasks``-task stage has ``busy`` running
+        tasks (every slot, so the victim is running some) and >= ``completed`` done."""
+
+        def watch() -> None:
+            st = sc.statusTracker()
+            deadline = time.time() + 120
+            while time.time() < deadline:
+                infos = [st.getStageInfo(s) for s in st.getActiveStageIds()]
+                if any(
+                    i and i.numTasks == tasks and i.numActiveTasks >= busy and i.numCompletedTasks >= completed
+                    for i in infos
+                ):
+                    time.sleep(0.2)
+                    sc._jsc.sc().killExecutor(executor)
+                    return
+                time.sleep(0.05)
+
+        return threading.Thread(target=watch, daemon=True)
+
+    killer = kill_when("0", tasks=8, completed=0, busy=6)  # 3 executors x 2 cores
     sc.setJobGroup("pipeline", "pipeline under executor loss")
     killer.start()
     res = run_pipeline(spark, slow, scratch_path(spark, "lakehouse-executor-loss"))
     killer.join()
-    st = sc.statusTracker()
-    failed = 0
-    for job in st.getJobIdsForGroup("pipeline"):
-        for stage in st.getJobInfo(job).stageIds:
-            info = st.getStageInfo(stage)
-            failed += info.numFailedTasks if info else 0
-    gold = {r.province: list(r)[1:] for r in read_layer(spark, res.paths["gold"]).collect()}
+    gold_layer = {r.province: list(r)[1:] for r in read_layer(spark, res.paths["gold"]).collect()}
+    failed = _failed_tasks(sc, "pipeline")
+
+    # Phase 2: lose map outputs of Gold's partial aggregation.
+    # The slow column must be one Gold reads, or column pruning removes the UDF.
+    slow16 = src.repartition(16, "order_id").withColumn("province", slow_identity("province"))
+    sc.setJobGroup("gold", "gold under executor loss")
+    killer = kill_when("1", tasks=16, completed=4, busy=4)  # 2 executors left
+    killer.start()
+    gold_direct = {r.province: list(r)[1:] for r in gold(silver(bronze(slow16))).collect()}
+    killer.join()
+
     executors = [e for e in sc._jsc.sc().getExecutorIds().mkString(",").split(",") if e]
-    print(json.dumps({"counts": res.counts, "rejects": res.rejects, "gold": gold,
-                      "failed_tasks": failed, "executors_left": executors}))
+    print(json.dumps({"counts": res.counts, "rejects": res.rejects, "gold": gold_layer,
+                      "failed_tasks": failed, "gold_direct": gold_direct,
+                      "failed_tasks_gold": _failed_tasks(sc, "gold"), "executors_left": executors}))
     spark.stop()
 
 
