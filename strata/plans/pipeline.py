@@ -27,7 +27,7 @@ from strata.operators.quality import (
 )
 from strata.operators.silver import silver
 from strata.schemas import BRONZE_SCHEMA, BUSINESS_COLUMNS, SILVER_SCHEMA, check_layer_schema
-from strata.sinks.layers import layer_complete, layer_path, write_layer
+from strata.sinks.layers import layer_complete, layer_path, path_exists, write_layer
 from strata.sources.files import read_layer, read_raw
 
 
@@ -49,15 +49,20 @@ def _norm(path: str) -> str:
     return p.replace("//", "/")
 
 
-def _check_no_overlap(source: DataFrame | str | list[str], layer_paths: list[str]) -> None:
+def _check_no_overlap(spark: SparkSession, source: DataFrame | str | list[str], layer_paths: list[str]) -> None:
     """Refuse to overwrite a layer the source reads from.
 
     Spark does not stop this: an overwrite deletes the target first and the
-    job then fails reading it, and the input is gone.
+    job then fails reading it, and the input is gone. A DataFrame source can
+    only overlap a layer that already exists, so its file list (large for a
+    large table) is fetched only then.
     """
     if isinstance(source, (str, list)):
         inputs = [source] if isinstance(source, str) else list(source)
     else:
+        layer_paths = [p for p in layer_paths if path_exists(spark, p)]
+        if not layer_paths:
+            return
         inputs = source.inputFiles()
     for layer in map(_norm, layer_paths):
         for item in map(_norm, inputs):
@@ -108,7 +113,7 @@ def run_pipeline(
     wanted = list(paths)[: list(paths).index(stop_after) + 1]
     if isinstance(source, DataFrame) and source.isStreaming:
         raise ValueError("run_pipeline takes a batch source; use strata.streaming.medallion.run_incremental")
-    _check_no_overlap(source, list(paths.values()))
+    _check_no_overlap(spark, source, list(paths.values()))
     raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
     result = PipelineResult(base=base, paths=paths)
 

@@ -58,6 +58,11 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(conf)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
 def layer_complete(spark: SparkSession, path: str) -> bool:
     """True when a finished write left its ``_SUCCESS`` marker at ``path``."""
     p, fs = _hadoop_path(spark, path)
