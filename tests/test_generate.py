@@ -65,3 +65,21 @@ def test_dirty_shuffle_keeps_rows(spark):
     a = generate_dirty_orders(spark, n=500)
     b = generate_dirty_orders(spark, n=500, shuffle=True)
     assert _rows(a) == _rows(b)
+
+
+def test_large_ids_and_seeds_match_duckdb(spark):
+    import duckdb
+
+    from strata.sources.generate import clean_orders_sql, dirty_orders_sql
+
+    ids = [0, 1, 2**31 - 1, 2**31, 2**32 + 5, 2**40 + 7, 10**15 + 3, 2**62]
+    con = duckdb.connect()
+    id_sql = "SELECT * FROM (VALUES " + ", ".join(f"({i}::BIGINT)" for i in ids) + ") t(id)"
+    id_df = spark.createDataFrame([(i,) for i in ids], "id long")
+    for seed in (0, 42, 2**31 - 1):
+        assert _rows(generate_dirty_orders(spark, ids=id_df, seed=seed)) == sorted(
+            con.execute(dirty_orders_sql(id_sql, seed)).fetchall()
+        )
+        assert _rows(generate_clean_orders(spark, ids=id_df, seed=seed)) == sorted(
+            con.execute(clean_orders_sql(id_sql, seed)).fetchall()
+        )
