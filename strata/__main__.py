@@ -71,7 +71,13 @@ def cmd_incremental(args) -> dict:
 
     spark = _session(args)
     paths = run_incremental(spark, args.landing, args.base, archive_dir=args.archive)
-    return {"bronze": paths.bronze, "silver": paths.silver, "gold": paths.gold, "counts": paths.counts, "rejects": paths.rejects}
+    return {
+        "bronze": paths.bronze,
+        "silver": paths.silver,
+        "gold": paths.gold,
+        "counts": paths.counts,
+        "rejects": paths.rejects,
+    }
 
 
 def cmd_summaries(args) -> dict:
@@ -85,7 +91,9 @@ def cmd_summaries(args) -> dict:
     out = args.out.rstrip("/")
     written = {
         "success_orders": f"{out}/success_orders",
-        "by_province_success": export_single_csv(summaries.province_totals(orders, "SUCCESS"), f"{out}/by_province_success.csv"),
+        "by_province_success": export_single_csv(
+            summaries.province_totals(orders, "SUCCESS"), f"{out}/by_province_success.csv"
+        ),
         "by_province_all_sql": export_single_csv(sql_province_totals(spark, orders), f"{out}/by_province_all_sql.csv"),
         "by_province_success_sql": export_single_csv(
             sql_province_totals(spark, orders, "SUCCESS"), f"{out}/by_province_success_sql.csv"

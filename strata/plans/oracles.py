@@ -93,7 +93,9 @@ FROM {SRC} s
 def oracle_sql() -> dict[str, str]:
     return {
         # inference types the id column INTEGER while every value fits
-        "csv_inferred_scan": f"SELECT CAST(order_id AS INTEGER) AS order_id, customer_id, province, amount, status FROM {CLEAN} c",
+        "csv_inferred_scan": f"""
+            SELECT CAST(order_id AS INTEGER) AS order_id, customer_id, province, amount, status
+            FROM {CLEAN} c""",
         "csv_raw_scan": f"""
             SELECT nullif(order_id, '') AS order_id, nullif(customer_id, '') AS customer_id,
                    nullif(province, '') AS province, nullif(amount, '') AS amount,

@@ -68,7 +68,9 @@ def export_single_csv(
     return final_path
 
 
-def export_layers_csv(spark, paths: dict[str, str], out_base: str, gold_name: str = "order_summary.csv") -> dict[str, str]:
+def export_layers_csv(
+    spark, paths: dict[str, str], out_base: str, gold_name: str = "order_summary.csv"
+) -> dict[str, str]:
     """CSV copies of the layers under ``out_base``.
 
     Bronze and Silver become directories of part files written in parallel

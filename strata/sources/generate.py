@@ -17,7 +17,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.functions.draws import DUCKDB, SPARK, Dialect, below, hashes_sql, pick, randint, uniform, weighted, with_hashes
+from strata.functions.draws import (
+    DUCKDB,
+    SPARK,
+    Dialect,
+    below,
+    hashes_sql,
+    pick,
+    randint,
+    uniform,
+    weighted,
+    with_hashes,
+)
 
 DEFAULT_SEED = 42
 

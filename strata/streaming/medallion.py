@@ -44,7 +44,9 @@ from strata.streaming.ingest import checkpoint_for, ingest_bronze, read_raw_stre
 SILVER_METRICS = "silver_rule_counts"
 
 
-def refine_silver(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str | None = None) -> StreamingQuery:
+def refine_silver(
+    spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str | None = None
+) -> StreamingQuery:
     """Append Silver rows for Bronze files not processed before.
 
     Each micro-batch observes its row count per reject reason
@@ -129,7 +131,12 @@ def _run_counts(spark: SparkSession, query: StreamingQuery) -> tuple[dict[str, i
                 totals[k] += int(metrics[k])
     after_id = totals["bronze"] - totals[MISSING_ORDER_ID]
     after_amount = after_id - totals[AMOUNT_NOT_NUMERIC] - totals[AMOUNT_NOT_POSITIVE]
-    counts = {"bronze": totals["bronze"], "after_order_id": after_id, "after_amount": after_amount, "silver": after_amount}
+    counts = {
+        "bronze": totals["bronze"],
+        "after_order_id": after_id,
+        "after_amount": after_amount,
+        "silver": after_amount,
+    }
     return counts, {r: totals[r] for r in REASONS}
 
 
