@@ -136,3 +136,12 @@ def test_crlf_files_parse_like_lf(spark):
     rows = silver(bronze(read_raw(spark, d))).orderBy("order_id").collect()
     assert [str(r.order_date) for r in rows] == ["2026-01-01", "2026-02-03"]
     assert [r.status for r in rows] == ["SUCCESS", "FAILED"]
+
+
+def test_utf8_bom_header_is_accepted(spark):
+    d = _local(scratch_path(spark, "bom"))
+    os.makedirs(d)
+    with open(os.path.join(d, "orders.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("order_id,customer_id,province,amount,status,order_date\n1,CUS001,Hanoi,100,SUCCESS,2026-01-01\n")
+    rows = read_raw(spark, d).collect()
+    assert rows[0].order_id == "1" and rows[0].order_date == "2026-01-01"
