@@ -1,7 +1,7 @@
 """Order generators: clean typed orders and dirty raw orders at any size.
 
-Rows are keyed by a non-negative id column — ``spark.range(n)`` or the key
-of an existing table — and every field is a deterministic draw of
+Rows are keyed by an id column — ``spark.range(n)`` or the key of an
+existing table — and every field is a deterministic draw of
 (seed, id, slot) (see :mod:`strata.functions.draws`). Generation is a chain of
 narrow projections: no shuffle, no driver-side loop, same rows under any
 partitioning. ``shuffle=True`` adds a global sort on a hash to scatter rows
@@ -29,6 +29,7 @@ from strata.functions.draws import (
     weighted,
     with_hashes,
 )
+from strata.sources.files import CSV_KEEP_BLANKS
 
 DEFAULT_SEED = 42
 
@@ -132,8 +133,6 @@ def generate_dirty_orders(
 
 def land_dirty_orders(df: DataFrame, path: str) -> str:
     """Write generated raw orders as header CSV files (one per task) at ``path``."""
-    from strata.sources.files import CSV_KEEP_BLANKS
-
     df.write.mode("errorifexists").option("header", "true").options(**CSV_KEEP_BLANKS).csv(path)
     return path
 
