@@ -51,6 +51,7 @@ def cmd_generate(args) -> dict:
 
 
 def cmd_pipeline(args) -> dict:
+    from strata.operators.gold import order_gold
     from strata.plans.pipeline import run_pipeline
     from strata.sinks.export import export_layers_csv, export_single_csv
     from strata.sources.files import read_layer
@@ -59,7 +60,7 @@ def cmd_pipeline(args) -> dict:
     res = run_pipeline(spark, args.source, args.base, resume=args.resume, stop_after=args.stop_after)
     out = {"paths": res.paths, "counts": res.counts, "rejects": res.rejects, "skipped": res.skipped}
     if args.export_gold and args.stop_after == "gold":
-        out["gold_csv"] = export_single_csv(read_layer(spark, res.paths["gold"]), args.export_gold)
+        out["gold_csv"] = export_single_csv(order_gold(read_layer(spark, res.paths["gold"])), args.export_gold)
     if args.export_csv:
         done = {k: v for k, v in res.paths.items() if k in res.skipped or res.counts.get(k) is not None}
         out["csv"] = export_layers_csv(spark, done, args.export_csv)

@@ -53,9 +53,12 @@ def summarise(
         exact_total(amount_col).alias("total_amount"),
         *[F.count_if(status == F.lit(label)).alias(name) for name, label in status_counts.items()],
     )
-    if order:
-        out = out.orderBy(F.col("total_amount").desc_nulls_last(), F.col(key).asc_nulls_first())
-    return out
+    return order_gold(out, key) if order else out
+
+
+def order_gold(df: DataFrame, key: str = "province") -> DataFrame:
+    """Report order: ``total_amount`` descending (NULLs last), ties by key."""
+    return df.orderBy(F.col("total_amount").desc_nulls_last(), F.col(key).asc_nulls_first())
 
 
 def gold(silver_df: DataFrame, order: bool = True) -> DataFrame:

@@ -20,7 +20,8 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from strata.sources.files import CSV_KEEP_BLANKS
+from strata.operators.gold import order_gold
+from strata.sources.files import CSV_KEEP_BLANKS, read_layer
 
 DEFAULT_MAX_ROWS = 1_000_000
 
@@ -77,15 +78,14 @@ def export_layers_csv(
     (blanks kept; CSV cannot tell an empty string from NULL, so a read-back
     turns '' into NULL); Gold, a handful of rows, becomes one named file.
     """
-    from strata.sources.files import CSV_KEEP_BLANKS as keep, read_layer
-
     out = out_base.rstrip("/")
     written: dict[str, str] = {}
     for layer in ("bronze", "silver"):
         if layer in paths:
             target = f"{out}/{layer}/orders"
-            read_layer(spark, paths[layer]).write.mode("overwrite").option("header", "true").options(**keep).csv(target)
+            read_layer(spark, paths[layer]).write.mode("overwrite").option("header", "true").options(**CSV_KEEP_BLANKS).csv(target)
             written[layer] = target
     if "gold" in paths:
-        written["gold"] = export_single_csv(read_layer(spark, paths["gold"]), f"{out}/gold/{gold_name}")
+        gold_df = order_gold(read_layer(spark, paths["gold"]))
+        written["gold"] = export_single_csv(gold_df, f"{out}/gold/{gold_name}")
     return written

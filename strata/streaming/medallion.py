@@ -23,10 +23,9 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.operators.gold import gold
+from strata.operators.gold import gold, order_gold
 from strata.operators.quality import (
     AMOUNT_NOT_NUMERIC,
     AMOUNT_NOT_POSITIVE,
@@ -85,8 +84,7 @@ def maintain_gold(
     stream = spark.readStream.schema(SILVER_SCHEMA).parquet(silver_path)
 
     def publish(batch: DataFrame, _batch_id: int) -> None:
-        ordered = batch.orderBy(F.col("total_amount").desc_nulls_last(), F.col("province").asc_nulls_first())
-        ordered.write.mode("overwrite").parquet(gold_path)
+        order_gold(batch).write.mode("overwrite").parquet(gold_path)
 
     writer = (
         gold(stream, order=False)
