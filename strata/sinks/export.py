@@ -18,7 +18,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.gold import order_gold
 from strata.sources.files import CSV_KEEP_BLANKS, read_layer
@@ -70,7 +70,7 @@ def export_single_csv(
 
 
 def export_layers_csv(
-    spark, paths: dict[str, str], out_base: str, gold_name: str = "order_summary.csv"
+    spark: SparkSession, paths: dict[str, str], out_base: str, gold_name: str = "order_summary.csv"
 ) -> dict[str, str]:
     """CSV copies of the layers under ``out_base``.
 
