@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-import shutil
 
 import pandas as pd
 
@@ -81,7 +80,6 @@ def test_stream_ingest_is_exactly_once(spark):
     b = read_layer(spark, bronze_path)
     assert b.count() == 3
     assert {r.source_file.rsplit("/", 1)[-1] for r in b.collect()} == {"a.csv", "b.csv"}
-    assert shutil is not None
 
 
 def test_incremental_medallion_matches_batch(spark):
