@@ -63,17 +63,19 @@ def clean_columns(d: Dialect) -> list[str]:
         f"{_customer('h_customer', d)} AS customer_id",
         f"{pick('h_province', PROVINCES)} AS province",
         # a uniform real amount rounded to whole VND (half away from zero)
-        f"CAST(round({uniform('h_amount', *AMOUNT_RANGE)}, 0) AS INT) AS amount",
-        f"{weighted('h_status', STATUSES, CLEAN_STATUS_WEIGHTS)} AS status",
+        f"CAST(round({uniform('h_amount', *AMOUNT_RANGE, CLEAN_SLOTS['amount'])}, 0) AS INT) AS amount",
+        f"{weighted('h_status', STATUSES, CLEAN_STATUS_WEIGHTS, CLEAN_SLOTS['status'])} AS status",
     ]
 
 
 def dirty_columns(d: Dialect) -> list[str]:
-    blank = below("h_fault", BLANK_ID_RATE)
-    non_positive = f"(NOT {blank} AND {below('h_fault', BLANK_ID_RATE + NON_POSITIVE_RATE)})"
+    fault_bits = DIRTY_SLOTS["fault"]
+    blank = below("h_fault", BLANK_ID_RATE, fault_bits)
+    faulty = below("h_fault", BLANK_ID_RATE + NON_POSITIVE_RATE, fault_bits)
+    non_positive = f"(NOT {blank} AND {faulty})"
     group = (
-        f"(CASE WHEN {below('h_fault', BLANK_ID_RATE + NON_POSITIVE_RATE)} THEN 'SUCCESS' "
-        f"ELSE {weighted('h_group', STATUSES, DIRTY_STATUS_WEIGHTS)} END)"
+        f"(CASE WHEN {faulty} THEN 'SUCCESS' "
+        f"ELSE {weighted('h_group', STATUSES, DIRTY_STATUS_WEIGHTS, DIRTY_SLOTS['group'])} END)"
     )
     return [
         f"CASE WHEN {blank} THEN '' ELSE {d.to_text('id + 1')} END AS order_id",
