@@ -61,12 +61,14 @@ def _lineage_view(df: DataFrame) -> DataFrame:
 
 
 def csv_inferred_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean orders written as CSV, read back with inferred types."""
     path = scratch_path(spark, "orders-clean-csv")
     orders_clean(spark, sf_dir).write.option("header", "true").csv(path)
     return read_inferred_csv(spark, path)
 
 
 def csv_raw_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty orders written as CSV (blanks kept), read back as all-text raw columns."""
     path = scratch_path(spark, "orders-src-csv")
     orders_src(spark, sf_dir).write.option("header", "true").options(**CSV_KEEP_BLANKS).csv(path)
     return read_raw(spark, path, with_source_file=False)
@@ -81,26 +83,32 @@ def csv_province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four-column projection of the order table."""
     return summaries.select_columns(orders_clean(spark, sf_dir), "order_id", "province", "amount", "status")
 
 
 def filter_success(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose status is exactly SUCCESS."""
     return summaries.filter_status(orders_clean(spark, sf_dir), SUCCESS)
 
 
 def orders_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten orders with the lowest ids (a top-k report)."""
     return summaries.preview(orders_clean(spark, sf_dir), 10)
 
 
 def province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-province count and amount of SUCCESS orders, DataFrame form."""
     return summaries.province_totals(orders_clean(spark, sf_dir), status=SUCCESS)
 
 
 def sql_province_totals_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-province count and amount of all orders, SQL form."""
     return sql_province_totals(spark, orders_clean(spark, sf_dir))
 
 
 def sql_province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-province count and amount of SUCCESS orders, SQL form."""
     return sql_province_totals(spark, orders_clean(spark, sf_dir), status=SUCCESS)
 
 
@@ -108,10 +116,12 @@ def sql_province_success_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze over the dirty source: raw text plus lineage."""
     return _lineage_view(_bronze(spark, sf_dir))
 
 
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze written as a Parquet layer and read back (blanks and padding intact)."""
     path = scratch_path(spark, "bronze")
     write_layer(_bronze(spark, sf_dir), path)
     return _lineage_view(read_layer(spark, path))
@@ -121,16 +131,19 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_business_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six business columns read back from a Bronze layer (lineage pruned at the scan)."""
     path = scratch_path(spark, "bronze")
     write_layer(_bronze(spark, sf_dir), path)
     return read_layer(spark, path, BUSINESS_COLUMNS)
 
 
 def silver_rule_order_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left after rule 1 (order_id present)."""
     return _bronze(spark, sf_dir).filter(order_id_present()).select(*BUSINESS_COLUMNS)
 
 
 def silver_rule_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left after rules 1 and 2, with the parsed amount."""
     return (
         _bronze(spark, sf_dir)
         .filter(order_id_present() & amount_valid())
@@ -139,22 +152,27 @@ def silver_rule_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_status_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule 3 on every row: upper(trim(status))."""
     return _bronze(spark, sf_dir).select("order_id", normalise_status("status").alias("status"))
 
 
 def silver_order_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule 4 on every row: strict yyyy-MM-dd parse, NULL when it fails."""
     return _bronze(spark, sf_dir).select("order_id", parse_date("order_date").alias("order_date"))
 
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver layer: rules 1-5."""
     return silver(_bronze(spark, sf_dir))
 
 
 def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row Silver drops, with its reject reason."""
     return rejects(_bronze(spark, sf_dir)).select(*BUSINESS_COLUMNS, "reject_reason")
 
 
 def silver_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(reason, n) over the rejected rows."""
     return reject_counts(_bronze(spark, sf_dir))
 
 
@@ -172,10 +190,12 @@ def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_order_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: raw -> Bronze -> Silver -> Gold in one lazy plan."""
     return gold(silver(_bronze(spark, sf_dir)))
 
 
 def layered_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after real Parquet writes of all three layers (the pipeline)."""
     result = run_pipeline(
         spark,
         orders_src(spark, sf_dir, with_source_file=True),
