@@ -234,3 +234,14 @@ def test_stream_ingest_resumes_exactly_once_after_interruption(spark):
     b = read_layer(spark, bronze_path)
     assert b.count() == 800
     assert b.select("order_id").distinct().count() == 800  # nothing twice
+
+
+def test_incremental_and_batch_report_the_same_counts(spark):
+    from strata.streaming.medallion import run_incremental
+
+    landing = scratch_path(spark, "landing")
+    orders_src(spark, SF0001).write.option("header", "true").csv(landing)
+    batch = run_pipeline(spark, landing, scratch_path(spark, "lakehouse"))
+    inc = run_incremental(spark, landing, scratch_path(spark, "lakehouse-incremental"))
+    assert inc.counts == {k: v for k, v in batch.counts.items() if k != "gold"}
+    assert inc.rejects == batch.rejects

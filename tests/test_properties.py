@@ -15,6 +15,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from strata import bronze, rejects, silver
+from strata.operators.quality import reject_counts, stage_counts
 from strata.plans.oracles import silver_sql
 from strata.schemas import BUSINESS_COLUMNS
 
@@ -49,6 +50,13 @@ def test_rules_partition_and_agree_with_duckdb(raw_rows, rows):
     rj = rejects(b).collect()
     assert len(s) + len(rj) == len(rows)
 
+    counts = stage_counts(b, group_key="province").collect()[0]
+    assert (counts.bronze, counts.silver) == (len(rows), len(s))
+    assert counts.after_order_id == len(rows) - sum(r.reject_reason == "missing_order_id" for r in rj)
+    assert counts.gold == len({r[2] for r in s})
+    by_reason = {r.reason: r.n for r in reject_counts(b).collect()}
+    assert sum(by_reason.values()) == len(rj)
+
     for r in rj:
         if r.reject_reason == "missing_order_id":
             assert _blank(r.order_id)
