@@ -79,3 +79,4 @@ def test_executor_loss_keeps_counts_and_results_exact(tmp_path):
     assert res["rejects"] == {"missing_order_id": 883, "amount_not_numeric": 195, "amount_not_positive": 882}
     assert res["gold"] == GOLD_SF001
     assert res["gold_direct"] == GOLD_SF001
+
