@@ -1,4 +1,5 @@
-"""Failures: task retries keep results and counts exact; resume after a failed layer."""
+"""Failures: task retries and lost executors (running tasks and shuffle outputs) keep results
+and counts exact; a pipeline resumes after a failed layer."""
 
 from __future__ import annotations
 
