@@ -69,27 +69,26 @@ def main() -> None:
     src = orders_src(spark, sys.argv[1], with_source_file=True)
     slow = src.repartition(8, "order_id").withColumn("customer_id", slow_identity("customer_id"))
 
-    def kill_when(executor: str, tasks: int, completed: int, busy: int) -> threading.Thread:
-        """Kill ``executor`` once a ``tasks``-task stage has ``busy`` running
-        tasks (every slot, so the victim is running some) and >= ``completed`` done."""
+    def started() -> int:
+        return len(os.listdir(MARKERS)) if MARKERS else 0
+
+    def kill_when(executor: str, tasks: int, min_started: int) -> threading.Thread:
+        """Kill ``executor`` while a ``tasks``-task stage runs, once ``min_started``
+        task attempts have entered the UDF (so the victim has marked tasks in flight)."""
 
         def watch() -> None:
             st = sc.statusTracker()
             deadline = time.time() + 120
             while time.time() < deadline:
                 infos = [st.getStageInfo(s) for s in st.getActiveStageIds()]
-                if any(
-                    i and i.numTasks == tasks and i.numActiveTasks >= busy and i.numCompletedTasks >= completed
-                    for i in infos
-                ):
-                    time.sleep(0.2)
+                if started() >= min_started and any(i and i.numTasks == tasks and i.numActiveTasks > 0 for i in infos):
                     sc._jsc.sc().killExecutor(executor)
                     return
-                time.sleep(0.05)
+                time.sleep(0.02)
 
         return threading.Thread(target=watch, daemon=True)
 
-    killer = kill_when("0", tasks=8, completed=0, busy=6)  # 3 executors x 2 cores
+    killer = kill_when("0", tasks=8, min_started=6)  # first wave: 3 executors x 2 cores, all in the UDF
     sc.setJobGroup("pipeline", "pipeline under executor loss")
     killer.start()
     res = run_pipeline(spark, slow, scratch_path(spark, "lakehouse-executor-loss"))
@@ -101,7 +100,7 @@ def main() -> None:
     # The slow column must be one Gold reads, or column pruning removes the UDF.
     slow16 = src.repartition(16, "order_id").withColumn("province", slow_identity("province"))
     sc.setJobGroup("gold", "gold under executor loss")
-    killer = kill_when("1", tasks=16, completed=4, busy=4)  # 2 executors left
+    killer = kill_when("1", tasks=16, min_started=started() + 8)  # 4 done + 4 running on 2 executors
     killer.start()
     gold_direct = {r.province: list(r)[1:] for r in gold(silver(bronze(slow16))).collect()}
     killer.join()
