@@ -38,9 +38,9 @@ def read_raw_stream(
 
     ``archive_dir`` moves processed files out of the landing folder (Spark's
     ``cleanSource=archive``), so the folder listed at every trigger stays
-    small however many files have arrived over time. Files move once the
-    batch after theirs commits, i.e. one run later; the archive must lie
-    outside the landing path.
+    small however many files have arrived over time. A batch's files move
+    when a later batch commits, i.e. during the next run that finds new
+    files; the archive must lie outside the landing path.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":

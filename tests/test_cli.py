@@ -57,3 +57,18 @@ def test_sample_and_layer_csv_exports(tmp_path):
     assert n == res["counts"]["silver"]
     with open(res["csv"]["gold"]) as f:
         assert len(f.read().splitlines()) == 6
+
+
+def test_incremental_command(tmp_path):
+    landing = str(tmp_path / "landing")
+    _run("generate", "--rows", "1200", "--out", landing)
+    first = _run("incremental", "--landing", landing, "--base", str(tmp_path / "lake"), "--archive", str(tmp_path / "archive"))
+    assert first["counts"]["bronze"] == 1200
+    assert first["counts"]["silver"] + sum(first["rejects"].values()) == 1200
+    earlier = sorted(f for f in os.listdir(landing) if f.endswith(".csv"))
+    with open(os.path.join(landing, "late.csv"), "w") as f:
+        f.write("order_id,customer_id,province,amount,status,order_date\n9999,CUS001,Hanoi,5,SUCCESS,2026-01-01\n")
+    second = _run("incremental", "--landing", landing, "--base", str(tmp_path / "lake"), "--archive", str(tmp_path / "archive"))
+    assert second["counts"]["bronze"] == 1  # only the new file
+    # the first run's files were moved out when this run's batch committed
+    assert not set(earlier) & set(os.listdir(landing))
