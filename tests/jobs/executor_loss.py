@@ -1,7 +1,7 @@
 """Lose executors mid-job; print one JSON line.
 
 Runs on Spark's ``local-cluster`` master (separate executor JVMs) in its own
-process. A test-only pandas UDF makes each task take about a second.
+process. A test-only pandas UDF makes each task take about three seconds.
 
 1. Executor 0 is killed while the pipeline writes Bronze: its running tasks
    must be rerun elsewhere, with exact results and observed counts.
@@ -35,15 +35,32 @@ from strata.sources.fixtures import orders_src  # noqa: E402
 MARKERS = sys.argv[2] if len(sys.argv) > 2 else None
 
 
+def _executor_id() -> str:
+    """Id of the executor running this Python worker (test-only: read from the
+    executor JVM's command line, an ancestor process)."""
+    try:
+        pid = os.getppid()
+        for _ in range(4):
+            with open(f"/proc/{pid}/cmdline", "rb") as f:
+                args = f.read().split(b"\0")
+            if b"--executor-id" in args:
+                return args[args.index(b"--executor-id") + 1].decode()
+            with open(f"/proc/{pid}/status") as f:
+                pid = int(next(line for line in f if line.startswith("PPid:")).split()[1])
+    except (OSError, StopIteration, ValueError):
+        pass
+    return "unknown"
+
+
 @F.pandas_udf(StringType())
 def slow_identity(values: pd.Series) -> pd.Series:
     # Test-only: stretch each task so the executor loss hits running work,
     # and record every task attempt (a rerun shows as a second attempt id).
     ctx = TaskContext.get()
     if MARKERS:
-        name = f"stage{ctx.stageId()}-part{ctx.partitionId()}-attempt{ctx.taskAttemptId()}"
+        name = f"stage{ctx.stageId()}-part{ctx.partitionId()}-attempt{ctx.taskAttemptId()}-exec{_executor_id()}"
         open(os.path.join(MARKERS, name), "w").close()
-    time.sleep(1.0)
+    time.sleep(3.0)  # long enough for an asynchronous kill to land mid-task
     return values
 
 
@@ -66,29 +83,43 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("OFF")
     sc = spark.sparkContext
+
+    def executor_ids() -> list[str]:
+        return [e for e in sc._jsc.sc().getExecutorIds().mkString(",").split(",") if e]
+
+    # local-cluster executors register asynchronously (slowly on a busy
+    # machine): start only when all three exist, so the kills hit real ones.
+    deadline = time.time() + 180
+    while len(executor_ids()) < 3 and time.time() < deadline:
+        time.sleep(0.2)
     src = orders_src(spark, sys.argv[1], with_source_file=True)
     slow = src.repartition(8, "order_id").withColumn("customer_id", slow_identity("customer_id"))
 
-    def started() -> int:
-        return len(os.listdir(MARKERS)) if MARKERS else 0
+    def marked(executor: str, since: set[str]) -> int:
+        """Task attempts on ``executor`` that entered the UDF, not counting ``since``."""
+        names = set(os.listdir(MARKERS)) - since if MARKERS else set()
+        return sum(1 for n in names if n.endswith(f"-exec{executor}"))
 
-    def kill_when(executor: str, tasks: int, min_started: int) -> threading.Thread:
-        """Kill ``executor`` while a ``tasks``-task stage runs, once ``min_started``
-        task attempts have entered the UDF (so the victim has marked tasks in flight)."""
+    def kill_when(executor: str, tasks: int, min_marked: int, since: set[str]) -> threading.Thread:
+        """Kill ``executor`` while a ``tasks``-task stage runs, once ``min_marked`` of
+        its own task attempts have entered the UDF (so it has marked work in flight)."""
 
         def watch() -> None:
             st = sc.statusTracker()
-            deadline = time.time() + 120
+            deadline = time.time() + 180
             while time.time() < deadline:
                 infos = [st.getStageInfo(s) for s in st.getActiveStageIds()]
-                if started() >= min_started and any(i and i.numTasks == tasks and i.numActiveTasks > 0 for i in infos):
+                if marked(executor, since) >= min_marked and any(
+                    i and i.numTasks == tasks and i.numActiveTasks > 0 for i in infos
+                ):
                     sc._jsc.sc().killExecutor(executor)
                     return
                 time.sleep(0.02)
 
         return threading.Thread(target=watch, daemon=True)
 
-    killer = kill_when("0", tasks=8, min_started=6)  # first wave: 3 executors x 2 cores, all in the UDF
+    # Executor 0 has both of its task slots inside the UDF.
+    killer = kill_when("0", tasks=8, min_marked=2, since=set())
     sc.setJobGroup("pipeline", "pipeline under executor loss")
     killer.start()
     res = run_pipeline(spark, slow, scratch_path(spark, "lakehouse-executor-loss"))
@@ -100,12 +131,14 @@ def main() -> None:
     # The slow column must be one Gold reads, or column pruning removes the UDF.
     slow16 = src.repartition(16, "order_id").withColumn("province", slow_identity("province"))
     sc.setJobGroup("gold", "gold under executor loss")
-    killer = kill_when("1", tasks=16, min_started=started() + 8)  # 4 done + 4 running on 2 executors
+    # Executor 1 started a third task (2 slots): at least one of its map outputs exists.
+    before = set(os.listdir(MARKERS)) if MARKERS else set()
+    killer = kill_when("1", tasks=16, min_marked=3, since=before)
     killer.start()
     gold_direct = {r.province: list(r)[1:] for r in gold(silver(bronze(slow16))).collect()}
     killer.join()
 
-    executors = [e for e in sc._jsc.sc().getExecutorIds().mkString(",").split(",") if e]
+    executors = executor_ids()
     print(json.dumps({"counts": res.counts, "rejects": res.rejects, "gold": gold_layer,
                       "failed_tasks": failed, "gold_direct": gold_direct,
                       "failed_tasks_gold": _failed_tasks(sc, "gold"), "executors_left": executors}))

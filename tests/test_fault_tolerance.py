@@ -73,7 +73,7 @@ def test_executor_loss_keeps_counts_and_results_exact(tmp_path):
     assert res["executors_left"] == ["2"], diag  # executors 0 and 1 were lost mid-job
     runs: dict[tuple[str, str], int] = {}
     for name in os.listdir(markers):
-        stage, part, _attempt = name.split("-")
+        stage, part, _attempt, _executor = name.split("-")
         runs[(stage, part)] = runs.get((stage, part), 0) + 1
     rerun_stages = {stage for (stage, _part), n in runs.items() if n > 1}
     # the Bronze write and the Gold map stage both re-ran lost tasks
