@@ -1,0 +1,104 @@
+"""Tiling against a plain greedy form; planted passages are found, clean documents stay."""
+
+from __future__ import annotations
+
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm import decontamination as dc
+
+DOCS = "doc_id long, text string, row_number int, item_id int"
+ITEMS = "item_id long, text string"
+
+
+def plain_tiles(doc, item, width):
+    """Greedy string tiling by its definition: longest common unmarked run first."""
+    in_doc, in_item, out = set(), set(), []
+    while True:
+        best = None
+        for d in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while d + n < len(doc) and i + n < len(item) and doc[d + n] == item[i + n] and d + n not in in_doc and i + n not in in_item:
+                    n += 1
+                if n >= width and (best is None or n > best[2]):
+                    best = (d, i, n)
+        if best is None:
+            return out
+        out.append(best)
+        in_doc.update(range(best[0], best[0] + best[2]))
+        in_item.update(range(best[1], best[1] + best[2]))
+
+
+def hits(doc, item, width):
+    return [
+        (d, i)
+        for d in range(len(doc) - width + 1)
+        for i in range(len(item) - width + 1)
+        if doc[d : d + width] == item[i : i + width]
+    ]
+
+
+@settings(max_examples=150, deadline=None, derandomize=True)
+@given(st.lists(st.sampled_from("abc"), max_size=30), st.lists(st.sampled_from("abc"), max_size=16), st.integers(1, 4))
+def test_tiles_equal_the_definition(doc, item, width):
+    assert dc.tiles(hits(doc, item, width), width) == plain_tiles(doc, item, width)
+
+
+def found(spark, docs, items):
+    out = dc.contaminations(spark.createDataFrame([(i, t, 0, 0) for i, t in docs], DOCS), spark.createDataFrame(items, ITEMS))
+    return sorted((r.doc_id, r.item_id, r.covered) for r in out.collect())
+
+
+def brute(docs, items):
+    out = []
+    for d, t in docs:
+        for i, q in items:
+            w, v = (t or "").lower().split(), (q or "").lower().split()
+            n = sum(x[2] for x in plain_tiles(w, v, dc.MIN_RUN))
+            if v and n and n >= dc.COVERAGE * len(v):
+                out.append((d, i, n))
+    return sorted(out)
+
+
+def corpus():
+    rng = random.Random(8)
+    v = [f"w{i}" for i in range(60)]
+    some = lambda n: [rng.choice(v) for _ in range(n)]
+    items = [(i, " ".join(some(rng.randrange(3, 40)))) for i in range(12)] + [(50, None), (51, ""), (52, "a b c")]
+    items.append((60, items[0][1]))
+    docs = [(0, None), (1, " \n"), (2, "a b c")]
+    for n in range(3, 40):
+        q = rng.choice(items[:12])[1].split()
+        cut = rng.randrange(len(q))
+        text = {0: some(30) + q + some(20), 1: q[cut:] + some(9) + q[:cut], 2: some(60), 3: q[: len(q) // 3] + some(30)}[n % 4]
+        docs.append((n, " ".join(text).upper() if n % 5 == 0 else "\n".join(text)))
+    return docs + [docs[3], (None, items[1][1])], items
+
+
+def test_reordered_passages_and_special_rows(spark):
+    docs, items = corpus()
+    key = lambda x: (x[0] is None, x)
+    out = dc.contaminations(spark.createDataFrame([(i, t, 0, 0) for i, t in docs], DOCS).repartition(4), spark.createDataFrame(items, ITEMS))
+    assert sorted(((r.doc_id, r.item_id, r.covered) for r in out.collect()), key=key) == sorted(brute_all(docs, items), key=key)
+
+
+def brute_all(docs, items):
+    rows = [x for x in brute([d for d in docs if d[0] is not None], items)]
+    return rows + [(None, i, n) for _, i, n in brute([(-1, t) for d, t in docs if d is None], items)]
+
+
+def test_empty_tables(spark):
+    docs, items = corpus()
+    assert found(spark, [], items) == [] and found(spark, docs[:5], []) == []
+
+
+def test_uncontaminated_keeps_clean_rows_and_columns(spark):
+    docs, items = corpus()
+    frame = spark.createDataFrame([(i, t, 7, 8) for i, t in docs], DOCS)
+    out = dc.uncontaminated(frame, spark.createDataFrame(items, ITEMS))
+    bad = {d for d, _, _ in brute_all(docs, items)}
+    assert out.schema == frame.schema
+    assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, _ in docs if d not in bad)
