@@ -57,7 +57,7 @@ def cmd_pipeline(args) -> dict:
     from strata.sources.files import read_layer
 
     spark = _session(args)
-    res = run_pipeline(spark, args.source, args.base, resume=args.resume, stop_after=args.stop_after)
+    res = run_pipeline(spark, args.source, args.base, resume=args.resume, start_at=args.start_at, stop_after=args.stop_after)
     out = {"paths": res.paths, "counts": res.counts, "rejects": res.rejects, "skipped": res.skipped}
     if args.export_gold and args.stop_after == "gold":
         out["gold_csv"] = export_single_csv(order_gold(read_layer(spark, res.paths["gold"])), args.export_gold)
@@ -123,14 +123,18 @@ def main(argv: list[str] | None = None) -> int:
     g.set_defaults(run=cmd_generate)
 
     r = sub.add_parser("pipeline", help="Bronze, Silver and Gold layers from raw CSV")
-    r.add_argument("--source", required=True, help="raw CSV file, folder or glob")
+    r.add_argument("--source", default=None, help="raw CSV file, folder or glob (not needed with a later --start-at)")
     r.add_argument("--base", required=True, help="base URI of the layers")
-    r.add_argument("--resume", action="store_true", help="skip layers already written")
+    r.add_argument("--resume", action="store_true", help="keep layers whose input has not changed")
     r.add_argument("--export-gold", default=None, help="also write Gold as one CSV file here")
     r.add_argument("--export-csv", default=None, help="also write CSV copies of the layers under this folder")
+    r.add_argument(
+        "--start-at", default="bronze", choices=["bronze", "silver", "gold"],
+        help="rebuild from this layer on, from the layers before it as they are",
+    )
     r.add_argument(
         "--stop-after", default="gold", choices=["bronze", "silver", "gold"],
-        help="end after this layer (run the next one later with --resume)",
+        help="end after this layer (run the next one later with --start-at or --resume)",
     )
     r.set_defaults(run=cmd_pipeline)
 

@@ -8,6 +8,8 @@ orders costs the same as any other. The final sort is over the few result rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +22,17 @@ GOLD_STATUS_COUNTS: dict[str, str] = {"success_orders": SUCCESS, "failed_orders"
 def exact_total(amount: str | Column) -> Column:
     """Sum of a double amount, truncated to a long.
 
-    The sum runs over ``decimal(38,6)``: each amount is taken to six decimal
-    places and the sum is then exact and independent of row order and
+    The sum runs over ``decimal(38,6)``: each amount is cut (never rounded up) to
+    six decimal places and the sum is then exact and independent of row order and
     partitioning (a double sum of whole amounts stops being exact past 2^53,
     which a large table reaches). The cast to long truncates, and under ANSI
-    it raises on overflow instead of returning a silent NULL.
+    it raises on overflow instead of returning a silent NULL; Silver rejects
+    single amounts beyond :data:`strata.functions.cleaning.MAX_AMOUNT`.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
-    return F.sum(amount.cast("decimal(38,6)")).cast("long")
+    places = amount.cast("decimal(38,6)")
+    cut = F.when(places.cast("double") > amount, places - F.lit(Decimal("0.000001"))).otherwise(places)
+    return F.sum(cut.cast("decimal(38,6)")).cast("long")
 
 
 def summarise(

@@ -5,6 +5,7 @@ Rules apply in a fixed order and the first failing rule names the reason:
 1. ``missing_order_id``   order_id is NULL, empty or spaces only
 2. ``amount_not_numeric`` amount does not parse as a finite number
 3. ``amount_not_positive`` amount parses but is <= 0
+4. ``amount_out_of_range`` amount is too large to be summed exactly
 
 A row passes when its reason is NULL. Every predicate here is NULL-free, so a
 row is always on exactly one side: ``bronze = silver + rejects``.
@@ -15,13 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.cleaning import is_blank, is_finite, parse_amount
+from strata.functions.cleaning import MAX_AMOUNT, is_blank, is_finite, parse_amount
 
 # Reject reason labels, in rule order.
 MISSING_ORDER_ID = "missing_order_id"
 AMOUNT_NOT_NUMERIC = "amount_not_numeric"
 AMOUNT_NOT_POSITIVE = "amount_not_positive"
-REASONS: list[str] = [MISSING_ORDER_ID, AMOUNT_NOT_NUMERIC, AMOUNT_NOT_POSITIVE]
+AMOUNT_OUT_OF_RANGE = "amount_out_of_range"
+REASONS: list[str] = [MISSING_ORDER_ID, AMOUNT_NOT_NUMERIC, AMOUNT_NOT_POSITIVE, AMOUNT_OUT_OF_RANGE]
 
 # The stage names of the row-count report, in pipeline order.
 STAGES: list[str] = ["bronze", "after_order_id", "after_amount", "silver", "gold"]
@@ -32,32 +34,32 @@ def order_id_present(order_id: str | Column = "order_id") -> Column:
     return ~is_blank(order_id)
 
 
-def amount_valid(amount: str | Column = "amount") -> Column:
-    """Rule 2 passes: amount parses to a finite number > 0."""
-    amt = parse_amount(amount)
-    return is_finite(amt) & (amt > F.lit(0.0))
-
-
-def reject_reason(order_id: str | Column = "order_id", amount: str | Column = "amount") -> Column:
-    """First failing rule's label, or NULL when the row passes every rule."""
-    amt = parse_amount(amount)
+def reject_reason(order_id: str | Column = "order_id", parsed: str | Column = "parsed_amount") -> Column:
+    """First failing rule's label, or NULL when the row passes every rule;
+    ``parsed`` is the amount as a double."""
+    amt = F.col(parsed) if isinstance(parsed, str) else parsed
     return (
         F.when(is_blank(order_id), F.lit(MISSING_ORDER_ID))
         .when(~is_finite(amt), F.lit(AMOUNT_NOT_NUMERIC))
         .when(amt <= F.lit(0.0), F.lit(AMOUNT_NOT_POSITIVE))
+        .when(amt > F.lit(MAX_AMOUNT), F.lit(AMOUNT_OUT_OF_RANGE))
     )
 
 
-def passes(order_id: str | Column = "order_id", amount: str | Column = "amount") -> Column:
-    """True when the row passes every rule (equivalent to ``reject_reason IS NULL``)."""
-    return order_id_present(order_id) & amount_valid(amount)
+def amount_valid(amount: str | Column = "amount") -> Column:
+    """Rules 2 to 4 pass: amount parses to a number above 0 and up to MAX_AMOUNT
+    (NULL, NaN and infinities do not)."""
+    # one range test from the smallest positive double on, so the text is parsed once for it
+    return F.coalesce(parse_amount(amount).between(F.lit(5e-324), F.lit(MAX_AMOUNT)), F.lit(False))
 
 
 REASON_COLUMN = "reject_reason"
+PARSED_COLUMN = "parsed_amount"
 
 
 def with_reject_reason(df: DataFrame, name: str = REASON_COLUMN) -> DataFrame:
-    return df.withColumn(name, reject_reason())
+    """df with the amount parsed once (``parsed_amount``) and the reject reason."""
+    return df.withColumn(PARSED_COLUMN, parse_amount("amount")).withColumn(name, reject_reason(parsed=PARSED_COLUMN))
 
 
 def reason_metrics() -> list[Column]:
@@ -69,7 +71,7 @@ def reason_metrics() -> list[Column]:
 
 def rejects(bronze_df: DataFrame) -> DataFrame:
     """The rows Silver drops, with all their Bronze columns and the reason."""
-    return with_reject_reason(bronze_df).filter(F.col("reject_reason").isNotNull())
+    return with_reject_reason(bronze_df).filter(F.col("reject_reason").isNotNull()).drop(PARSED_COLUMN)
 
 
 def reject_counts(bronze_df: DataFrame) -> DataFrame:

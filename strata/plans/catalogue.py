@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.cleaning import normalise_status, parse_amount, parse_date
-from strata.functions.lineage import file_name_of
 from strata.operators import summaries
 from strata.operators.bronze import bronze
 from strata.operators.gold import gold
@@ -34,7 +33,15 @@ from strata.schemas import BUSINESS_COLUMNS, GOLD_SCHEMA, SUCCESS
 from strata.session import scratch_path
 from strata.sinks.export import export_single_csv
 from strata.sinks.layers import LAYERS, publish_layers, write_layer
-from strata.sources.files import CSV_KEEP_BLANKS, read_inferred_csv, read_layer, read_raw
+from strata.sources.files import (
+    CSV_KEEP_BLANKS,
+    MALFORMED_COLUMN,
+    read_inferred_csv,
+    read_layer,
+    read_malformed,
+    read_orders_csv,
+    read_raw,
+)
 from strata.sources.fixtures import orders_clean, orders_src, orders_table, project_src
 from strata.sources.generate import generate_clean_orders, generate_dirty_orders, land_dirty_orders
 from strata.streaming.ingest import ingest_bronze, read_raw_stream
@@ -48,11 +55,12 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lineage_view(df: DataFrame) -> DataFrame:
-    """Business columns + file *name* + whether a load time is set (the full
-    path and the timestamp differ per run, so they are not compared)."""
+    """Business columns + the *table* in the source file's path (a file, or a
+    folder of part files) + whether a load time is set (the full path and the
+    timestamp differ per run, so they are not compared)."""
     return df.select(
         *BUSINESS_COLUMNS,
-        file_name_of("source_file").alias("source_file"),
+        F.regexp_extract("source_file", "(orders[.]parquet)(/|$)", 1).alias("source_file"),
         F.col("load_time").isNotNull().alias("has_load_time"),
     )
 
@@ -232,16 +240,62 @@ def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(GOLD_SCHEMA).option("header", "true").option("enforceSchema", "false").csv(target)
 
 
+def rerun_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pipeline over half of the orders as CSV, then the other half arrives
+    and every layer is run again on its own, resuming what is still current."""
+    landing, base = scratch_path(spark, "landing"), scratch_path(spark, "lakehouse")
+    rows = orders_src(spark, sf_dir)
+    early = F.substring("customer_id", 6, 1) < "5"
+    write = lambda df, day: df.write.option("header", "true").options(**CSV_KEEP_BLANKS).csv(f"{landing}/day={day}")
+    write(rows.where(early), 1)
+    run_pipeline(spark, f"{landing}/*", base)
+    write(rows.where(~early), 2)
+    run_pipeline(spark, f"{landing}/*", base, resume=True, stop_after="bronze")
+    run_pipeline(spark, f"{landing}/*", base, resume=True, stop_after="silver")
+    result = run_pipeline(spark, None, base, start_at="gold")
+    return read_layer(spark, result.paths["gold"])
+
+
+def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean orders with ids and amounts above 2^31, written as CSV and read back typed."""
+    path = scratch_path(spark, "orders-typed-csv")
+    large = orders_clean(spark, sf_dir).withColumns(
+        {"order_id": F.col("order_id") + F.lit(4_000_000_000), "amount": F.col("amount").cast("long") * F.lit(100_000)}
+    )
+    large.write.option("header", "true").csv(path)
+    return read_orders_csv(spark, path)
+
+
+def bronze_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines with a field too many or too few, whole. The lines land as text,
+    one file a task, each with the header."""
+    path = scratch_path(spark, "orders-lines")
+    key = F.col("o_orderkey")
+    field = lambda *extra: F.concat_ws(",", key, F.lit("C"), F.lit("P"), F.lit(7), *map(F.lit, extra))
+    line = (
+        F.when(key % 23 == 5, field("S", "2026-01-01", "extra"))
+        .when(key % 29 == 7, field())
+        .otherwise(field("S", "2026-01-01"))
+    )
+    lines = orders_table(spark, sf_dir).select(line.alias("line"))
+    # Spark's text writer has no header; the header is the writer's first row of
+    # a one-column CSV whose separator does not occur.
+    lines.select(F.col("line").alias(",".join(BUSINESS_COLUMNS))).write.option("header", "true").option("sep", "\x01").option(
+        "quote", ""
+    ).csv(path)
+    return read_malformed(spark, path).select(MALFORMED_COLUMN)
+
+
 # --- streaming ingest --------------------------------------------------------
 
 
 def _orders_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # as a pattern the path may be one file or a folder of part files
     return read_raw_stream(
         spark,
-        sf_dir,
+        f"{sf_dir.rstrip('/')}/orders.parque[t]",
         schema=orders_table(spark, sf_dir).schema,
         fmt="parquet",
-        glob="orders.parquet",
         with_source_file=False,
     )
 
@@ -262,16 +316,13 @@ def stream_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incremental_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold maintained incrementally: Bronze, Silver and Gold as checkpointed
-    streams; a second run over the same input must change nothing."""
-    base = scratch_path(spark, "lakehouse-incremental")
-    for _ in range(2):
-        paths = run_incremental(
-            spark,
-            _orders_stream(spark, sf_dir),
-            base,
-            transform=lambda df: project_src(df, with_source_file=True),
-        )
+    """Gold maintained incrementally: Bronze, Silver and Gold as checkpointed streams."""
+    paths = run_incremental(
+        spark,
+        _orders_stream(spark, sf_dir),
+        scratch_path(spark, "lakehouse-incremental"),
+        transform=lambda df: project_src(df, with_source_file=True),
+    )
     return read_layer(spark, paths.gold)
 
 
@@ -292,6 +343,11 @@ def generated_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate_dirty_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey")
 
 
+def generated_shuffled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generated dirty orders in scattered row order (the rows are the same)."""
+    return generate_dirty_orders(spark, ids=_order_keys(spark, sf_dir), id_col="o_orderkey", shuffle=True)
+
+
 def generated_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole flow on generated data: the generator lands raw CSV files,
     then the pipeline loads them into Bronze, Silver and Gold."""
@@ -330,6 +386,10 @@ def queries() -> dict[str, Query]:
         "stream_bronze_ingest": stream_bronze_ingest,
         "stream_gold_summary": stream_gold_summary,
         "incremental_gold_summary": incremental_gold_summary,
+        "rerun_gold_summary": rerun_gold_summary,
+        "csv_typed_scan": csv_typed_scan,
+        "bronze_malformed_lines": bronze_malformed_lines,
+        "generate_shuffled_orders": generated_shuffled_orders,
         "generate_clean_orders": generated_clean_orders,
         "generate_dirty_orders": generated_dirty_orders,
         "generated_gold_summary": generated_gold_summary,

@@ -37,13 +37,19 @@ SELECT order_id, customer_id, province, TRY_CAST(amount AS DOUBLE) AS amount,
        CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date
 FROM {src} s
 WHERE order_id IS NOT NULL AND trim(order_id) <> ''
-  AND TRY_CAST(amount AS DOUBLE) > 0
+  AND TRY_CAST(amount AS DOUBLE) > 0 AND TRY_CAST(amount AS DOUBLE) <= 9007199254740992
   AND NOT isnan(TRY_CAST(amount AS DOUBLE)) AND NOT isinf(TRY_CAST(amount AS DOUBLE))
 )"""
 
 
 SILVER = silver_sql(SRC)
 GOLD = gold_sql(SILVER)
+# Of the orders, every 23rd line has a field too many and every 29th one too few.
+MALFORMED = """
+SELECT CASE WHEN o_orderkey % 23 = 5 THEN concat_ws(',', o_orderkey, 'C', 'P', 7, 'S', '2026-01-01', 'extra')
+            WHEN o_orderkey % 29 = 7 THEN concat_ws(',', o_orderkey, 'C', 'P', 7) END AS malformed_line
+FROM orders
+"""
 ORDER_KEYS = "SELECT o_orderkey AS id FROM orders"
 
 
@@ -67,7 +73,7 @@ WITH b AS (
   SELECT *,
          (order_id IS NOT NULL AND trim(order_id) <> '') AS id_ok,
          (order_id IS NOT NULL AND trim(order_id) <> ''
-          AND coalesce(TRY_CAST(amount AS DOUBLE) > 0
+          AND coalesce(TRY_CAST(amount AS DOUBLE) > 0 AND TRY_CAST(amount AS DOUBLE) <= 9007199254740992
                        AND NOT isnan(TRY_CAST(amount AS DOUBLE))
                        AND NOT isinf(TRY_CAST(amount AS DOUBLE)), false)) AS all_ok
   FROM {SRC} s
@@ -85,6 +91,7 @@ SELECT order_id, customer_id, province, amount, status, order_date,
             WHEN TRY_CAST(amount AS DOUBLE) IS NULL OR isnan(TRY_CAST(amount AS DOUBLE))
                  OR isinf(TRY_CAST(amount AS DOUBLE)) THEN 'amount_not_numeric'
             WHEN TRY_CAST(amount AS DOUBLE) <= 0 THEN 'amount_not_positive'
+            WHEN TRY_CAST(amount AS DOUBLE) > 9007199254740992 THEN 'amount_out_of_range'
        END AS reject_reason
 FROM {SRC} s
 """
@@ -133,6 +140,14 @@ def oracle_sql() -> dict[str, str]:
         "stream_bronze_ingest": BRONZE_VIEW,
         "stream_gold_summary": GOLD,
         "incremental_gold_summary": GOLD,
+        "rerun_gold_summary": GOLD,
+        "csv_typed_scan": f"""
+            SELECT order_id + 4000000000 AS order_id, customer_id, province,
+                   CAST(amount AS BIGINT) * 100000 AS amount, status
+            FROM {CLEAN} c""",
+        "bronze_malformed_lines": f"""
+            SELECT malformed_line FROM ({MALFORMED}) m WHERE malformed_line IS NOT NULL""",
+        "generate_shuffled_orders": dirty_orders_sql(ORDER_KEYS),
         "generate_clean_orders": clean_orders_sql(ORDER_KEYS),
         "generate_dirty_orders": dirty_orders_sql(ORDER_KEYS),
         "generated_gold_summary": gold_sql(silver_sql(f"({dirty_orders_sql(ORDER_KEYS)})")),

@@ -3,13 +3,15 @@
 Each layer is written as Parquet before the next one reads it, so every layer
 is a restart point and a lost executor costs at most the tasks of the stage
 it was running. Stage counts are collected with ``observe()`` while a layer is
-written — no extra scan per count. A failing layer raises and later layers do
-not run. Layers read from one path and write to another, never the same.
+written — no extra scan per count. A failing layer raises, later layers do not
+run, and the layers before keep their last complete build.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,8 +20,6 @@ from pyspark.sql import functions as F
 from strata.operators.bronze import bronze
 from strata.operators.gold import gold
 from strata.operators.quality import (
-    AMOUNT_NOT_NUMERIC,
-    AMOUNT_NOT_POSITIVE,
     MISSING_ORDER_ID,
     REASONS,
     reason_metrics,
@@ -27,8 +27,17 @@ from strata.operators.quality import (
 )
 from strata.operators.silver import silver
 from strata.schemas import BRONZE_SCHEMA, BUSINESS_COLUMNS, SILVER_SCHEMA, check_layer_schema
-from strata.sinks.layers import layer_complete, layer_path, path_exists, write_layer
-from strata.sources.files import read_layer, read_raw
+from strata.sinks.layers import (
+    LAYERS,
+    Build,
+    _hadoop_path,
+    current_build,
+    layer_complete,
+    layer_path,
+    refuse_foreign,
+    write_layer,
+)
+from strata.sources.files import read_layer, read_malformed, read_raw
 
 
 @dataclass
@@ -40,34 +49,69 @@ class PipelineResult:
     skipped: list[str] = field(default_factory=list)
 
 
-def _norm(path: str) -> str:
-    p = path.rstrip("/")
-    for prefix in ("file://", "file:"):
-        if p.startswith(prefix):
-            p = p[len(prefix):]
-            break
-    return p.replace("//", "/")
+def stage_counts_of(bronze_rows: int, rejects: dict[str, int]) -> dict[str, int]:
+    """Rows left after each rule, from the rows seen and the rejects by reason."""
+    after_id = bronze_rows - rejects[MISSING_ORDER_ID]
+    after_amount = after_id - sum(n for reason, n in rejects.items() if reason != MISSING_ORDER_ID)
+    return {"bronze": bronze_rows, "after_order_id": after_id, "after_amount": after_amount, "silver": after_amount}
+
+
+def source_roots(spark: SparkSession, source: DataFrame | str | list[str]) -> list[str] | None:
+    """The folders and files a source reads, qualified, with globs expanded; of a
+    DataFrame the root paths of its scans (never its file list). None when a
+    DataFrame reads anything else (rows in memory, another system)."""
+    jvm = spark.sparkContext._jvm
+    if isinstance(source, DataFrame):
+        roots = []
+        for leaf in _scala(source._jdf.queryExecution().analyzed().collectLeaves()):
+            if leaf.getClass().getSimpleName() != "LogicalRelation" or not hasattr(leaf.relation(), "location"):
+                return None
+            roots += [p.toString() for p in _scala(leaf.relation().location().rootPaths())]
+        paths = [jvm.org.apache.hadoop.fs.Path(r) for r in roots]
+    else:
+        paths = [jvm.org.apache.hadoop.fs.Path(x) for x in ([source] if isinstance(source, str) else source)]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in paths:
+        fs = path.getFileSystem(conf)
+        found += [_plain(fs, s.getPath()) for s in (fs.globStatus(path) or [])]
+    return sorted(set(found))
 
 
-def _check_no_overlap(spark: SparkSession, source: DataFrame | str | list[str], layer_paths: list[str]) -> None:
-    """Refuse to overwrite a layer the source reads from.
+def _scala(seq) -> list:
+    return [seq.apply(i) for i in range(seq.length())]
+
+
+def _plain(fs, path) -> str:
+    """A path as scheme, host and decoded path, without . and .. steps."""
+    uri = fs.makeQualified(path).toUri().normalize()
+    return f"{uri.getScheme() or ''}://{uri.getAuthority() or ''}{uri.getPath().rstrip('/')}"
 
-    Spark does not stop this: an overwrite deletes the target first and the
-    job then fails reading it, and the input is gone. A DataFrame source can
-    only overlap a layer that already exists, so its file list (large for a
-    large table) is fetched only then.
-    """
-    if isinstance(source, (str, list)):
-        inputs = [source] if isinstance(source, str) else list(source)
-    else:
-        layer_paths = [p for p in layer_paths if path_exists(spark, p)]
-        if not layer_paths:
-            return
-        inputs = source.inputFiles()
-    for layer in map(_norm, layer_paths):
-        for item in map(_norm, inputs):
-            if item == layer or item.startswith(layer + "/") or layer.startswith(item + "/"):
-                raise ValueError(f"source {item} overlaps layer {layer}; write the layers elsewhere")
+
+def source_id(spark: SparkSession, source: DataFrame | str | list[str]) -> str | None:
+    """What a source holds now: its roots with their size, number of files and
+    time of change (asked of the file system, not of a file list). None when it
+    can't be told."""
+    roots = source_roots(spark, source)
+    if not roots:
+        return None
+    state = []
+    for root in roots:
+        p, fs = _hadoop_path(spark, root)
+        summary = fs.getContentSummary(p)
+        changed = fs.getFileStatus(p).getModificationTime()
+        state.append([root, summary.getLength(), summary.getFileCount(), changed])
+    return hashlib.sha256(json.dumps(state).encode()).hexdigest()
+
+
+def _check_no_overlap(spark: SparkSession, source: DataFrame | str | list[str], layer_paths: list[str]) -> None:
+    """Refuse a source that is one of the layers, lies in one, or holds one."""
+    for layer in layer_paths:
+        p, fs = _hadoop_path(spark, layer)
+        own = _plain(fs, p)
+        for item in source_roots(spark, source) or []:
+            if item == own or item.startswith(own + "/") or own.startswith(item + "/"):
+                raise ValueError(f"source {item} overlaps layer {own}; write the layers elsewhere")
 
 
 def _observed_count(obs: Observation | None, key: str) -> int | None:
@@ -78,24 +122,30 @@ def _observed_count(obs: Observation | None, key: str) -> int | None:
 
 def run_pipeline(
     spark: SparkSession,
-    source: DataFrame | str | list[str],
+    source: DataFrame | str | list[str] | None,
     base: str,
     table: str = "orders",
     gold_table: str = "order_summary",
     load_time_at: dt.datetime | None = None,
     resume: bool = False,
     silver_partition_by: list[str] | None = None,
+    start_at: str = "bronze",
     stop_after: str = "gold",
 ) -> PipelineResult:
-    """Run all three layers under ``base``; returns paths and stage counts.
+    """Run the layers under ``base``; returns paths and stage counts.
 
     ``source`` is a raw DataFrame (all-text business columns, optionally with
-    ``source_file``) or a path/glob of raw CSV files. With ``resume`` a layer
-    whose output is already complete (``_SUCCESS``) and has the layer's schema
-    is not rewritten; a complete layer with another schema raises.
-    ``stop_after`` ("bronze", "silver" or "gold") ends the run after that
-    layer, so a scheduler can run the layers as separate tasks (each later
-    task with ``resume``).
+    ``source_file``) or a path/glob of raw CSV files. CSV lines with a wrong
+    number of fields are kept whole in ``<table>_malformed`` next to Bronze and
+    counted as ``malformed``.
+
+    Every layer records the build it was made from (Bronze: the state of the
+    source's paths). With ``resume`` a layer is kept only if that is still its
+    input, so new raw files are never passed over; a DataFrame source counts as
+    unchanged when the paths it scans are. ``start_at`` rebuilds from the named
+    layer on, from the layers before it as they are (no source needed), and
+    ``stop_after`` ends the run early: a scheduler runs layers as separate
+    tasks with either.
 
     ``silver_partition_by`` (e.g. ``["order_date"]``) writes Silver as a
     partitioned table so date-range readers prune directories. Each task then
@@ -108,61 +158,83 @@ def run_pipeline(
         "silver": layer_path(base, "silver", table),
         "gold": layer_path(base, "gold", gold_table),
     }
-    if stop_after not in paths:
-        raise ValueError(f"stop_after must be one of {list(paths)}")
-    wanted = list(paths)[: list(paths).index(stop_after) + 1]
+    for name, layer in (("start_at", start_at), ("stop_after", stop_after)):
+        if layer not in LAYERS:
+            raise ValueError(f"{name} must be one of {LAYERS}")
+    wanted = LAYERS[LAYERS.index(start_at) : LAYERS.index(stop_after) + 1]
     if isinstance(source, DataFrame) and source.isStreaming:
         raise ValueError("run_pipeline takes a batch source; use strata.streaming.medallion.run_incremental")
-    _check_no_overlap(spark, source, list(paths.values()))
-    raw = read_raw(spark, source) if isinstance(source, (str, list)) else source
+    for layer, path in paths.items():
+        if layer_complete(spark, path) and current_build(spark, path) is None:
+            check_layer_schema(read_layer(spark, path).schema, layer, ordered=False)
+        refuse_foreign(spark, path)
+    built_from = None
+    if "bronze" in wanted:
+        if source is None:
+            raise ValueError("a run that starts at bronze needs a source")
+        _check_no_overlap(spark, source, list(paths.values()))
+        built_from = source_id(spark, source)
     result = PipelineResult(base=base, paths=paths)
 
-    def done(layer: str) -> bool:
+    def kept(layer: str, made_from: str | None) -> Build | None:
+        """The layer's current build, if this run takes it as it is."""
+        build = current_build(spark, paths[layer])
         if layer not in wanted:
-            return True
-        if resume and layer_complete(spark, paths[layer]):
+            if build is None and LAYERS.index(layer) < LAYERS.index(start_at):
+                raise ValueError(f"cannot start at {start_at}: there is no {layer} layer at {paths[layer]}")
+            return build
+        if resume and build and made_from is not None and build.built_from == made_from:
             check_layer_schema(read_layer(spark, paths[layer]).schema, layer, ordered=False)
             result.skipped.append(layer)
-            return True
-        return False
+            return build
+        return None
 
     # Bronze: raw rows + lineage.
-    obs_b = None
-    if not done("bronze"):
+    obs_b = malformed = None
+    bronze_build = kept("bronze", built_from)
+    if bronze_build is None:
         obs_b = Observation("bronze")
-        write_layer(bronze(raw, load_time_at).observe(obs_b, F.count(F.lit(1)).alias("rows")), paths["bronze"])
+        by_path = isinstance(source, (str, list))
+        raw = read_raw(spark, source, whole_lines=True) if by_path else source
+        rows = bronze(raw, load_time_at).observe(obs_b, F.count(F.lit(1)).alias("rows"))
+        if by_path:
+            obs_m = Observation("malformed")
+            lines = read_malformed(spark, source).observe(obs_m, F.count(F.lit(1)).alias("rows"))
+            write_layer(lines, paths["bronze"] + "_malformed", built_from=built_from)
+            malformed = _observed_count(obs_m, "rows")
+        bronze_build = write_layer(rows, paths["bronze"], built_from=built_from)
 
     # Silver: rules over the Bronze layer. The reject reason is computed once
     # per row; its counts are observed during the write and the Silver filter
     # keeps the rows without one.
     obs_s = None
-    if not done("silver"):
+    silver_build = kept("silver", bronze_build.id) if stop_after != "bronze" else None
+    if stop_after != "bronze" and silver_build is None:
         obs_s = Observation("silver")
         bronze_df = with_reject_reason(read_layer(spark, paths["bronze"], BUSINESS_COLUMNS, schema=BRONZE_SCHEMA))
-        write_layer(
+        silver_build = write_layer(
             silver(bronze_df.observe(obs_s, *reason_metrics())),
             paths["silver"],
             partition_by=silver_partition_by,
+            built_from=bronze_build.id,
         )
 
-    # Gold: summary over the Silver layer.
+    # Gold: summary over the Silver layer. Readers order it; a layer is not sorted.
     obs_g = None
-    if not done("gold"):
+    if stop_after == "gold" and kept("gold", silver_build.id) is None:
         obs_g = Observation("gold")
         silver_df = read_layer(spark, paths["silver"], BUSINESS_COLUMNS, schema=SILVER_SCHEMA)
-        write_layer(gold(silver_df).observe(obs_g, F.count(F.lit(1)).alias("rows")), paths["gold"])
+        rows = gold(silver_df, order=False).observe(obs_g, F.count(F.lit(1)).alias("rows"))
+        write_layer(rows, paths["gold"], built_from=silver_build.id)
 
     result.rejects = {r: _observed_count(obs_s, r) for r in REASONS}
     scanned = _observed_count(obs_s, "bronze")
-    after_id = after_amount = None
+    result.counts = dict.fromkeys(("bronze", "after_order_id", "after_amount", "silver"))
     if scanned is not None:
-        after_id = scanned - result.rejects[MISSING_ORDER_ID]
-        after_amount = after_id - result.rejects[AMOUNT_NOT_NUMERIC] - result.rejects[AMOUNT_NOT_POSITIVE]
-    result.counts = {
-        "bronze": _observed_count(obs_b, "rows") if obs_b else scanned,
-        "after_order_id": after_id,
-        "after_amount": after_amount,
-        "silver": after_amount,
-        "gold": _observed_count(obs_g, "rows"),
-    }
+        result.counts |= stage_counts_of(scanned, result.rejects)
+    if obs_b:
+        result.counts["bronze"] = _observed_count(obs_b, "rows")
+    result.counts["gold"] = _observed_count(obs_g, "rows")
+    if malformed is not None:
+        result.counts["malformed"] = malformed
     return result

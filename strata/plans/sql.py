@@ -10,21 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# A missing status asks for all rows.
 PROVINCE_TOTALS = """
 SELECT province,
        COUNT(*)    AS total_orders,
        SUM(amount) AS total_amount
 FROM {orders}
-GROUP BY province
-ORDER BY total_amount DESC NULLS LAST, province
-"""
-
-PROVINCE_TOTALS_FOR_STATUS = """
-SELECT province,
-       COUNT(*)    AS total_orders,
-       SUM(amount) AS total_amount
-FROM {orders}
-WHERE status = :status
+WHERE :status IS NULL OR status = :status
 GROUP BY province
 ORDER BY total_amount DESC NULLS LAST, province
 """
@@ -32,6 +24,4 @@ ORDER BY total_amount DESC NULLS LAST, province
 
 def sql_province_totals(spark: SparkSession, orders: DataFrame, status: str | None = None) -> DataFrame:
     """Per-province row count and amount sum, optionally for one status."""
-    if status is None:
-        return spark.sql(PROVINCE_TOTALS, orders=orders)
-    return spark.sql(PROVINCE_TOTALS_FOR_STATUS, args={"status": status}, orders=orders)
+    return spark.sql(PROVINCE_TOTALS, args={"status": status}, orders=orders)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql.types import (
     DateType,
     DoubleType,
-    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -17,7 +16,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Business columns of an order, in their fixed order (Silver keeps exactly these).
+# Business columns of an order, in order (Silver keeps exactly these).
 BUSINESS_COLUMNS: list[str] = [
     "order_id",
     "customer_id",
@@ -32,6 +31,7 @@ LINEAGE_COLUMNS: list[str] = ["source_file", "load_time"]
 
 BRONZE_COLUMNS: list[str] = BUSINESS_COLUMNS + LINEAGE_COLUMNS
 
+# The Gold columns.
 GOLD_COLUMNS: list[str] = [
     "province",
     "total_orders",
@@ -76,13 +76,14 @@ GOLD_SCHEMA = StructType(
     ]
 )
 
-# Typed Part-1 order table (order_id non-null, the rest nullable).
+# The typed Part-1 order table (order_id non-null, the rest nullable;
+# ids and amounts pass 2^31 at scale).
 ORDER_SCHEMA = StructType(
     [
-        StructField("order_id", IntegerType(), False),
+        StructField("order_id", LongType(), False),
         StructField("customer_id", StringType(), True),
         StructField("province", StringType(), True),
-        StructField("amount", IntegerType(), True),
+        StructField("amount", LongType(), True),
         StructField("status", StringType(), True),
     ]
 )

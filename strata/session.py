@@ -80,8 +80,8 @@ def get_session(
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset
-    (local tests) a temporary folder is created and registered as the
+    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset and
+    the master is local (tests, laptops) a temporary folder is created and registered as the
     checkpoint directory, so ``DataFrame.checkpoint()`` and our scratch
     writes land in the same place.
     """
@@ -97,6 +97,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all hosts share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="strata-checkpoint-"))
     return sc.getCheckpointDir().rstrip("/")

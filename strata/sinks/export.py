@@ -1,71 +1,42 @@
 """One CSV file with a chosen name, for small results (reports, summaries).
 
 Spark writes a directory of part files; a report wants one named file. The
-frame is written with a single writer task into a temporary directory next
-to the target, the one part file is renamed onto the target with the Hadoop
-``FileContext`` API (works on any Hadoop file system, replaces an existing
-target), and the temporary directory is removed.
-
-Everything funnels through one task, so the row count is checked against a
-bound first; large tables belong in a layer (:mod:`strata.sinks.layers`).
-The frame is persisted (memory and disk, on the executors) for the check
-and the write, so an expensive input — Gold over a large Silver — is
-computed once, not twice.
+frame is written by a single task into a temporary directory next to the target
+and the one part file replaces the target in one step. One file is the feature:
+large tables belong in a layer (:mod:`strata.sinks.layers`), which is written in
+parallel; nothing is counted or kept in memory for the check of a bound.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.gold import order_gold
+from strata.sinks.layers import POINTER, _hadoop_path, delete_path, path_exists, replace_file
 from strata.sources.files import CSV_KEEP_BLANKS, read_layer
 
-DEFAULT_MAX_ROWS = 1_000_000
-
 
-def export_single_csv(
-    df: DataFrame,
-    final_path: str,
-    header: bool = True,
-    max_rows: int = DEFAULT_MAX_ROWS,
-) -> str:
+def export_single_csv(df: DataFrame, final_path: str, header: bool = True) -> str:
     """Write ``df`` (row order kept) to exactly one CSV file at ``final_path``."""
     spark = df.sparkSession
     tmp_dir = f"{final_path}__tmp-{uuid.uuid4().hex}"
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if df.count() > max_rows:
-            raise ValueError(f"export_single_csv is for small results: more than {max_rows} rows")
-        (
-            df.coalesce(1)
-            .write.mode("errorifexists")
-            .option("header", "true" if header else "false")
-            .options(**CSV_KEEP_BLANKS)
-            .csv(tmp_dir)
-        )
-    finally:
-        df.unpersist()
-
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hpath = jvm.org.apache.hadoop.fs.Path
-    tmp = hpath(tmp_dir)
-    fs = tmp.getFileSystem(conf)
+    (
+        df.coalesce(1)
+        .write.mode("errorifexists")
+        .option("header", "true" if header else "false")
+        .options(**CSV_KEEP_BLANKS)
+        .csv(tmp_dir)
+    )
+    tmp, fs = _hadoop_path(spark, tmp_dir)
     parts = [s.getPath() for s in fs.listStatus(tmp) if s.getPath().getName().startswith("part-")]
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file in {tmp_dir}, found {len(parts)}")
-
-    target = hpath(final_path)
+    target, _ = _hadoop_path(spark, final_path)
     fs.mkdirs(target.getParent())
-    fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf)
-    rename_opt = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    opts = spark.sparkContext._gateway.new_array(rename_opt, 1)
-    opts[0] = rename_opt.OVERWRITE
-    fc.rename(parts[0], target, opts)
-    fs.delete(tmp, True)
+    replace_file(spark, parts[0].toString(), final_path)
+    delete_path(spark, tmp_dir)
     return final_path
 
 
@@ -76,13 +47,18 @@ def export_layers_csv(
 
     Bronze and Silver become directories of part files written in parallel
     (blanks kept; CSV cannot tell an empty string from NULL, so a read-back
-    turns '' into NULL); Gold, a handful of rows, becomes one named file.
+    turns '' into NULL); Gold, a handful of rows, becomes one named file. A
+    target that is a layer, or lies in one, is refused.
     """
     out = out_base.rstrip("/")
     written: dict[str, str] = {}
     for layer in ("bronze", "silver"):
         if layer in paths:
             target = f"{out}/{layer}/orders"
+            if any(path_exists(spark, f"{folder}/{POINTER}") for folder in (target, f"{out}/{layer}", out)) or path_exists(
+                spark, f"{target}/_spark_metadata"
+            ):
+                raise ValueError(f"{target} is part of a layer; export the CSV copies elsewhere")
             read_layer(spark, paths[layer]).write.mode("overwrite").option("header", "true").options(**CSV_KEEP_BLANKS).csv(target)
             written[layer] = target
     if "gold" in paths:

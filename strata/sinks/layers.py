@@ -1,70 +1,157 @@
 """Layer writes and publishing to any Hadoop-compatible store.
 
-A layer is a Parquet directory at ``<base>/<layer>/<table>``; ``base`` may be
-``file:``, ``hdfs:``, ``s3a:``, ... (object-store credentials come from the
-session's ``spark.hadoop.fs.*`` settings). Writes are parallel — one file per
-task, no ``coalesce`` — and go through Spark's commit protocol, so a retried
-or lost task never leaves partial output behind.
+A layer is a folder ``<base>/<layer>/<table>`` (``file:``, ``hdfs:``, ``s3a:``,
+...; credentials come from the session's ``spark.hadoop.fs.*`` settings). Each
+write goes to a build folder of its own, in parallel, through Spark's commit
+protocol; a small pointer file is replaced as the last step. So the build before
+stays readable until the new one is complete, a failed write changes nothing,
+and readers never see a half-written layer. The pointer also records which input
+build a layer was made from. The last build before the current one is kept (a
+reader may hold it); older ones are removed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The layer names, in pipeline order.
 LAYERS: list[str] = ["bronze", "silver", "gold"]
 
+POINTER = "_current.json"
+
+
+@dataclass(frozen=True)
+class Build:
+    """One complete write of a layer."""
+
+    id: str
+    path: str
+    built_from: str | None = None
+    previous: str | None = None
+
 
 def layer_path(base: str, layer: str, table: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{table}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(conf)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file onto ``target``, replacing it in one step."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(target).toUri(), conf)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(path(source), path(target), options)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def current_build(spark: SparkSession, path: str) -> Build | None:
+    """The build the layer's pointer names, if there is one."""
+    pointer = f"{path.rstrip('/')}/{POINTER}"
+    p, fs = _hadoop_path(spark, pointer)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        found = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Build(found["build"], f"{path.rstrip('/')}/{found['build']}", found["built_from"], found["previous"])
+
+
+def data_path(spark: SparkSession, path: str) -> str:
+    """Where the rows at ``path`` are: its current build, or the path itself
+    (tables that this module did not write, or that a stream appends to)."""
+    build = current_build(spark, path)
+    return build.path if build else path
+
+
 def write_layer(
     df: DataFrame,
     path: str,
-    mode: str = "overwrite",
     partition_by: list[str] | None = None,
-) -> None:
-    """Write ``df`` as a Parquet layer (overwrite by default: re-runs are idempotent).
+    built_from: str | None = None,
+) -> Build:
+    """Write ``df`` as a new build of the layer and make it the current one.
 
-    Never overwrite a path ``df`` itself reads from: Spark deletes the target
-    before the job reads it, so the job fails and the input is lost.
+    ``df`` may read the layer it replaces. ``built_from`` names the input build.
     """
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    before = current_build(spark, path)
+    build = Build(f"build-{uuid.uuid4().hex}", "", built_from, before.id if before else None)
+    build = Build(build.id, f"{path}/{build.id}", built_from, build.previous)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    try:
+        writer.parquet(build.path)
+    except Exception:
+        delete_path(spark, build.path)  # this write's own, unfinished folder
+        raise
+    draft = f"{path}/_draft-{build.id}.json"
+    _write_text(spark, draft, json.dumps({"build": build.id, "built_from": built_from, "previous": build.previous}))
+    replace_file(spark, draft, f"{path}/{POINTER}")
+    if before and before.previous:
+        delete_path(spark, f"{path}/{before.previous}")
+    return build
+
+
+def layer_complete(spark: SparkSession, path: str) -> bool:
+    """True when the layer has a current build, or ``path`` is a table with a
+    finished write's ``_SUCCESS`` marker."""
+    return path_exists(spark, f"{path.rstrip('/')}/{POINTER}") or path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def publish_layers(layers: dict[str, DataFrame], base: str, tables: dict[str, str] | None = None) -> dict[str, str]:
     """Write each named layer to ``<base>/<layer>/<table>``; returns the paths.
 
     Unlike an upload loop, a missing or failing layer raises — nothing is
-    skipped in silence.
+    skipped in silence. A target that holds a table this module did not write is
+    refused, so publishing never mixes with it.
     """
     tables = tables or {}
     paths: dict[str, str] = {}
     for layer, df in layers.items():
         path = layer_path(base, layer, tables.get(layer, "orders"))
+        refuse_foreign(df.sparkSession, path)
         write_layer(df, path)
         paths[layer] = path
     return paths
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(conf)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return bool(fs.exists(p))
-
-
-def layer_complete(spark: SparkSession, path: str) -> bool:
-    """True when a finished write left its ``_SUCCESS`` marker at ``path``."""
-    p, fs = _hadoop_path(spark, path)
-    jvm = spark.sparkContext._jvm
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+def refuse_foreign(spark: SparkSession, path: str) -> None:
+    """Raise when ``path`` is a table that a stream or another writer owns."""
+    if path_exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} is kept by an incremental run; use another base for batch layers")
+    if not path_exists(spark, f"{path}/{POINTER}") and path_exists(spark, f"{path}/_SUCCESS"):
+        raise ValueError(f"{path} holds a table that is no layer build; use another base")

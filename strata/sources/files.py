@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.lineage import source_file
 from strata.schemas import ORDER_SCHEMA, RAW_SCHEMA
+from strata.sinks.layers import data_path
 
 # CSV options that keep text exactly as written: no blank stripping on either
 # side, so padding survives a round trip.
@@ -23,6 +25,7 @@ def read_raw(
     fmt: str = "csv",
     with_source_file: bool = True,
     options: dict[str, str] | None = None,
+    whole_lines: bool = False,
 ) -> DataFrame:
     """Raw ingest: every column as text, plus ``source_file`` taken at the scan.
 
@@ -30,8 +33,16 @@ def read_raw(
     every file is checked against the schema by name, so a file whose columns
     are swapped fails instead of being mapped by position in silence. The
     schema is explicit, so there is no inference pass over the input.
-    ``path`` may be a file, a directory, a glob or a list of them.
+    ``path`` may be a file, a directory, a glob or a list of them. A CSV line
+    with more or fewer fields than the schema is cut or padded, unless
+    ``whole_lines`` leaves it to :func:`read_malformed`.
     """
+    if whole_lines:
+        if fmt != "csv":
+            raise ValueError("whole_lines is for CSV input")
+        lines = _with_malformed(spark, path, schema).where(F.col(MALFORMED_COLUMN).isNull())
+        columns = [source_file().alias("source_file")] if with_source_file else []
+        return lines.select(*schema.fieldNames(), *columns)
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", "true").option("enforceSchema", "false").options(**CSV_KEEP_BLANKS)
@@ -43,26 +54,52 @@ def read_raw(
     return df.select(*cols)
 
 
+MALFORMED_COLUMN = "malformed_line"
+
+
+def read_malformed(spark: SparkSession, path: str | list[str], schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """Lines of raw CSV with more or fewer fields than the schema, whole:
+    ``malformed_line`` and ``source_file``. ``read_raw(..., whole_lines=True)``
+    leaves exactly these out, so the two together are the input."""
+    lines = _with_malformed(spark, path, schema).select("*", source_file().alias("source_file"))
+    # Spark refuses a query of the line column alone; naming another column (never
+    # taken, the line is not NULL here) keeps all fields parsed
+    line = F.coalesce(F.col(MALFORMED_COLUMN), F.col(schema.fieldNames()[0]).cast("string"))
+    return lines.where(F.col(MALFORMED_COLUMN).isNotNull()).select(line.alias(MALFORMED_COLUMN), "source_file")
+
+
+def _with_malformed(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
+    return (
+        spark.read.schema(StructType([*schema.fields, StructField(MALFORMED_COLUMN, StringType(), True)]))
+        .option("header", "true")
+        .option("enforceSchema", "false")
+        # pruned columns would hide a wrong number of fields
+        .option("columnPruning", "false")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED_COLUMN)
+        .options(**CSV_KEEP_BLANKS)
+        .csv(path)
+    )
+
+
 def read_orders_csv(spark: SparkSession, path: str | list[str], schema: StructType = ORDER_SCHEMA) -> DataFrame:
-    """Typed CSV scan with an explicit schema (the production form: one pass)."""
+    """Typed CSV scan with an explicit schema (the production form: one pass).
+    A field that does not parse as its type fails the read; it never becomes NULL."""
     return (
         spark.read.schema(schema)
         .option("header", "true")
         .option("enforceSchema", "false")
+        .option("columnPruning", "false")
+        .option("mode", "FAILFAST")
         .csv(path)
     )
 
 
-def read_inferred_csv(spark: SparkSession, path: str | list[str], sampling_ratio: float | None = None) -> DataFrame:
-    """CSV scan with ``inferSchema``: an extra eager pass over the input to
+def read_inferred_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """CSV scan with ``inferSchema``: an extra eager pass over the whole input to
     guess types. Kept for parity with hand-written scripts; prefer an explicit
-    schema (:func:`read_orders_csv`). ``sampling_ratio`` infers from a fraction
-    of the rows (cheaper on large inputs, but a value outside the sample can
-    then fail the typed read)."""
-    reader = spark.read.option("header", "true").option("inferSchema", "true")
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", str(sampling_ratio))
-    return reader.csv(path)
+    schema (:func:`read_orders_csv`)."""
+    return spark.read.option("header", "true").option("inferSchema", "true").csv(path)
 
 
 def read_layer(
@@ -71,11 +108,12 @@ def read_layer(
     columns: list[str] | None = None,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Read a Parquet layer back; a column list prunes the scan (``ReadSchema``).
+    """Read a Parquet layer back (its current build, or a plain table at the
+    path); a column list prunes the scan (``ReadSchema``).
 
     A known ``schema`` (the layer contract) skips the footer-reading job that
     schema inference runs.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
+    df = reader.parquet(data_path(spark, path))
     return df.select(*columns) if columns else df

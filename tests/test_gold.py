@@ -49,6 +49,12 @@ def test_gold_exact_total_beyond_double_precision(spark):
     assert g.total_amount == 2**53 + 3
 
 
+def test_total_is_cut_not_rounded(spark):
+    rows = [("1", "C", "P", 0.9999999, "SUCCESS", None), ("2", "C", "Q", 2.0**53, "SUCCESS", None), ("3", "C", "Q", 0.25, "S", None)]
+    got = {r.province: r.total_amount for r in gold(_silver(spark, rows)).collect()}
+    assert got == {"P": 0, "Q": 2**53}
+
+
 def test_gold_empty(spark):
     g = gold(_silver(spark, []))
     assert g.count() == 0 and g.columns == GOLD_COLUMNS

@@ -16,9 +16,9 @@ def test_sample_schema_and_rows(spark):
 
 def test_sample_success_and_totals(spark):
     df = sample_orders(spark)
-    assert [r.order_id for r in summaries.filter_status(df).orderBy("order_id").collect()] == [1, 3, 5, 7, 8]
+    assert [r.order_id for r in summaries.filter_status(df).orderBy("order_id").collect()] == [102, 105, 109, 110, 118]
     got = [tuple(r) for r in summaries.province_totals(df, status="SUCCESS").collect()]
-    assert got == [("HCM", 1, 2000000), ("Hanoi", 3, 1750000), ("CanTho", 1, 400000)]
+    assert got == [("Lao Cai", 2, 3000095500), (None, 1, 610000), ("Ben Tre", 1, 331000), ("Nghe An", 1, 12250)]
 
 
 def test_sql_and_dataframe_forms_agree(spark):
@@ -28,7 +28,7 @@ def test_sql_and_dataframe_forms_agree(spark):
     assert [tuple(r) for r in a.collect()] == [tuple(r) for r in b.collect()]
     assert b.schema["total_amount"].dataType.simpleString() == "bigint"
     all_status = {r.province: (r.total_orders, r.total_amount) for r in sql_province_totals(spark, df).collect()}
-    assert all_status["HCM"] == (2, 3200000) and all_status["HaiPhong"] == (1, 150000)
+    assert all_status["Nghe An"] == (2, 752250) and all_status["Ben Tre"] == (2, 331000)
 
 
 def test_status_filter_is_case_sensitive(spark):
@@ -38,4 +38,4 @@ def test_status_filter_is_case_sensitive(spark):
 
 def test_preview_is_top_k_by_key(spark):
     df = sample_orders(spark)
-    assert [r.order_id for r in summaries.preview(df, 3).collect()] == [1, 2, 3]
+    assert [r.order_id for r in summaries.preview(df, 3).collect()] == [101, 102, 105]

@@ -24,6 +24,7 @@ ROWS = [
     ("12", "CUS012", "DaNang", "1e3", "Failed", "2026-13-01"),  # bad date kept as NULL
     ("13", "CUS013", None, "50", "pending", "2026-1-5"),  # NULL province, non-padded date
     ("14", "CUS014", "DaNang", "7", None, None),  # NULL status and date
+    ("15", "CUS015", "DaNang", "1e33", "SUCCESS", None),  # finite, but beyond an exact sum
 ]
 
 
@@ -57,9 +58,10 @@ def test_reject_reasons(raw_rows):
         "8": "amount_not_numeric",
         "9": "amount_not_numeric",
         "10": "amount_not_numeric",
+        "15": "amount_out_of_range",
     }
     counts = {r.reason: r.n for r in reject_counts(b).collect()}
-    assert counts == {"missing_order_id": 3, "amount_not_positive": 2, "amount_not_numeric": 4}
+    assert counts == {"missing_order_id": 3, "amount_not_positive": 2, "amount_not_numeric": 4, "amount_out_of_range": 1}
 
 
 def test_first_failing_rule_wins(raw_rows):
@@ -74,7 +76,7 @@ def test_bronze_equals_silver_plus_rejects(raw_rows):
 
 def test_stage_counts(raw_rows):
     row = stage_counts(bronze(raw_rows(ROWS)), group_key="province").collect()[0]
-    assert row.bronze == 14 and row.after_order_id == 11 and row.after_amount == 5 and row.silver == 5
+    assert row.bronze == 15 and row.after_order_id == 12 and row.after_amount == 5 and row.silver == 5
     assert row.gold == 3  # Hanoi, DaNang, and the NULL province group
 
 

@@ -13,7 +13,7 @@ from strata.schemas import BUSINESS_COLUMNS, GOLD_SCHEMA, RAW_SCHEMA
 from strata.session import scratch_path, shared_dir
 from strata.sinks.export import export_single_csv
 from strata.sinks.layers import layer_complete, publish_layers, write_layer
-from strata.sources.files import read_inferred_csv, read_layer, read_orders_csv, read_raw
+from strata.sources.files import read_inferred_csv, read_layer, read_malformed, read_orders_csv, read_raw
 
 
 def _local(path: str) -> str:
@@ -104,9 +104,23 @@ def test_export_single_csv_keeps_order_and_overwrites(spark):
     assert [line.split(",")[0] for line in lines[1:]] == ["b", "a", "c"]
 
 
-def test_export_refuses_large_results(spark):
-    with pytest.raises(ValueError):
-        export_single_csv(spark.range(20), scratch_path(spark, "export") + "/big.csv", max_rows=10)
+def test_typed_csv_keeps_large_values_and_refuses_bad_ones(spark):
+    header = "order_id,customer_id,province,amount,status\n"
+    d = _write_text(spark, "large", header + "3000000000,C,P,5000000000,SUCCESS\n")
+    assert [tuple(r) for r in read_orders_csv(spark, d).collect()] == [(3000000000, "C", "P", 5000000000, "SUCCESS")]
+    bad = _write_text(spark, "bad", header + "x,C,P,1,SUCCESS\n")
+    with pytest.raises(Exception, match="MALFORMED|x"):
+        read_orders_csv(spark, bad).collect()
+
+
+def test_malformed_lines_are_kept_whole(spark):
+    d = _write_text(
+        spark, "malformed", ",".join(BUSINESS_COLUMNS) + "\n1,C,P,5,S,2026-01-01\n2,C,P,5,S,2026-01-01,extra\n3,C,P\n"
+    )
+    assert [r.order_id for r in read_raw(spark, d, whole_lines=True).collect()] == ["1"]
+    lines = read_malformed(spark, d).collect()
+    assert sorted(r.malformed_line for r in lines) == ["2,C,P,5,S,2026-01-01,extra", "3,C,P"]
+    assert all(r.source_file.endswith("/orders.csv") for r in lines)
 
 
 def test_export_empty_frame_writes_header_only(spark):
