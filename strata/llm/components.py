@@ -1,53 +1,78 @@
 """Connected components of an edge table by alternating star contractions.
 
-Each round is two shuffles of the edge table (Kiveris et al., "Connected
-Components in MapReduce and Beyond", 2014): every node hangs its larger, then
-its smaller neighbours on the smallest node it sees. Rounds are logarithmic in
-practice; each ends in a written table, so the plan never grows. Hot nodes are
-safe: the minimum is aggregated map-side and no adjacency list is built.
+Each round deals the edges out twice (Kiveris et al., "Connected Components in
+MapReduce and Beyond", 2014): every node hangs its larger, then its smaller
+neighbours on the smallest node it sees. Within a partition the edges come
+sorted, so a node's smallest neighbour is its first: a node of any number of
+neighbours streams through in constant memory, and no adjacency list is built.
+Rounds are logarithmic in practice; each ends in a written table, so the plan
+never grows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.tables import saved
 
 
-def _star(both: DataFrame, larger: bool) -> DataFrame:
-    """both(u, v): each u connects its larger (or smaller) neighbours to the
-    smallest node among u and its neighbours."""
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    joined = both.join(low, "u")
-    if larger:
-        return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(
-        low.select("u", F.col("m").alias("v"))
-    )
+def _stars(larger: bool):
+    """Sorted (u, v): hang u's larger neighbours (or u and its smaller ones) on
+    the smallest of u and its neighbours; repeated edges are dropped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_u = last_v = low = -1  # uids are not negative
+        for batch in batches:
+            u, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(u):
+                continue
+            first = np.concatenate([[u[0] != last_u], u[1:] != u[:-1]])
+            again = ~first & (v == np.concatenate([[last_v], v[:-1]]))
+            lows = np.minimum(u, v)
+            if not first[0]:
+                lows[0] = low
+            m = lows[np.maximum.accumulate(np.where(first, np.arange(len(u)), 0))]
+            last_u, last_v, low = u[-1], v[-1], m[-1]
+            if larger:
+                keep = ~again & (v > u)
+                a, b = v[keep], m[keep]
+            else:
+                keep = ~again & (v != m)
+                a, b = np.concatenate([v[keep], u[first]]), np.concatenate([m[keep], m[first]])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
+
+    return run
+
+
+def _dealt(edges: DataFrame, larger: bool) -> DataFrame:
+    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_node = edges.repartition(parts, "u").sortWithinPartitions("u", "v")
+    return by_node.mapInArrow(_stars(larger), "u long, v long").where("u <> v")
 
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """edges(a, b) long -> (uid, root) for every node of an edge between two
-    different nodes; root is the smallest uid of its component. Empty edges
-    give an empty table."""
-    work = edges.where("a <> b").select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    ).distinct()
-    work = saved(work, "cc")
+    """edges(a, b) long, not negative -> (uid, root) for every node of an edge
+    between two different nodes; root is the smallest uid of its component.
+    Empty edges give an empty table."""
+    work = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     before = None
     for _ in range(max_rounds):
-        state = work.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
+        both = work.unionAll(work.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _dealt(both, larger=True)
+        work = saved(_dealt(large, larger=False), "cc")
+        state = work.distinct().agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == before:
             break
         before = state
-        both = work.unionAll(work.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _star(both, larger=True).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small = _star(down, larger=False).where("u <> v").distinct()
-        work = saved(small, "cc")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return work.select(F.col("u").alias("uid"), F.col("v").alias("root")).unionAll(
-        work.select(F.col("v").alias("uid"), F.col("v").alias("root")).distinct()
+    # every node but the roots has one edge left, to its root
+    tree = work.distinct()
+    return tree.select(F.col("u").alias("uid"), F.col("v").alias("root")).unionAll(
+        tree.select(F.col("v").alias("uid"), F.col("v").alias("root")).distinct()
     )

@@ -171,9 +171,10 @@ def contaminations(
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those in which an item is found; same columns."""
+    """docs without those in which an item is found; same columns. As docs is
+    scanned twice and its rows are known by their place, it must be a stored table."""
     uid = free_name(docs.columns, "row_number")
-    rows = saved(numbered(docs, *docs.columns, uid=uid), "numbered")
+    rows = numbered(docs, *docs.columns, uid=uid)
     found = _found(rows, benchmark, MIN_RUN, COVERAGE, uid, text_col, "item_id", "text")
     gone = saved(found.select(F.col("doc_id").alias(uid)).distinct(), "contaminated")
     return rows.join(gone, uid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

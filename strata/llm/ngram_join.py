@@ -16,7 +16,8 @@ Flow (tables written to the shared folder end each lineage):
    one document only are dropped (they can match nothing) and the others get
    their global rank (document frequency first).
 2. Each document's remaining sorted set; where less than t of its set is left,
-   no partner can exist and it leaves the join.
+   no partner can exist and it leaves the join. The sets are bucketed by document,
+   so that the joins below move them once, to their group.
 3. Exact copies collapse to one representative.
 4. Trie join in bounded groups around each document's best hub (the smallest
    document sharing most of its prefix); components of the links.
@@ -25,8 +26,8 @@ Flow (tables written to the shared folder end each lineage):
    each met by all others of the group; when those others fill several blocks,
    every pair of blocks meets. Groups are bounded by the n-grams they hold.
 
-Hashes keep 56 bits besides the frequency class; two n-grams of a pair of
-documents collide with probability about 1e-11.
+Hashes keep 48 bits besides the frequency class; two n-grams of a pair of
+documents collide with probability about 1e-9.
 
 Cases: null or blank text has an empty set, links with nothing and is its own
 component; fewer than ``width`` words make one n-gram of the whole sequence;
@@ -46,42 +47,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.components import components
-from strata.llm.tables import binary_list, free_name, grouped_rows, numbered, parts_for, saved, text_bytes
+from strata.llm.tables import (
+    binary_list,
+    bucket_of,
+    free_name,
+    grouped_rows,
+    numbered,
+    parts_for,
+    saved,
+    saved_by,
+    text_bytes,
+)
 from strata.llm.words import slices, split_words, text_buffer, whole_sequence, windows
 
 WIDTH = 5
 THRESHOLD = (75, 100)  # links where 100 * intersection >= 75 * union
 SLICE_BYTES = 4 << 20  # text hashed at a time in a task
 PART_BYTES = 8 << 20  # text whose n-grams share a partition
+MOST_PARTS = 50_000  # Spark bounds the buckets of a table; beyond it partitions grow
 GROUP_GRAMS = 400_000  # n-grams of the sets in one trie join
 
-_MASK56 = np.uint64((1 << 56) - 1)
-
-
 # --- 1. n-gram sets ----------------------------------------------------------
 
 
 def gram_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct 56-bit n-gram hashes text by text, set sizes)."""
+    """(sorted distinct 48-bit n-gram hashes text by text, set sizes)."""
     data, offsets = text_buffer(texts)
     words, _, at = split_words(data, offsets)
-    grams = windows(words, width) >> np.uint64(8)
+    grams = windows(words, width) >> np.uint64(16)
     sets = []
     for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
         if hi - lo >= width:
             sets.append(np.unique(grams[lo : hi - width + 1]))
         elif hi > lo:
-            sets.append(np.array([whole_sequence(words[lo:hi]) >> np.uint64(8)], dtype=np.uint64))
+            sets.append(np.array([whole_sequence(words[lo:hi]) >> np.uint64(16)], dtype=np.uint64))
         else:
             sets.append(words[:0])
     sizes = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
     return (np.concatenate(sets) if sets else words[:0]), sizes
 
 
-PACKED = "part int, uid long, doc_id long, n long, first long, sizes binary, counts binary, grams binary"
+PACKED = "part int, uid long, doc_id long, n long, first long, counts binary, grams binary"
 PACKED_ARROW = pa.schema(
     [("part", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("first", pa.int64()),
-     ("sizes", pa.binary()), ("counts", pa.binary()), ("grams", pa.binary())]
+     ("counts", pa.binary()), ("grams", pa.binary())]
 )
 
 
@@ -109,18 +118,16 @@ def _pack_grams(parts: int, width: int):
                 order = np.argsort(part, kind="stable")
                 counts = np.bincount(part * docs + owner, minlength=parts * docs).astype("<u4").reshape(parts, docs)
                 ends = np.cumsum(counts.sum(axis=1, dtype=np.int64))
-                packed = grams[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+                packed = grams[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
                 used = np.flatnonzero(np.diff(ends, prepend=0)).tolist()
                 yield _batch(
                     PACKED_ARROW, docs,
                     part=pa.array(uid[lo:hi] % parts, pa.int32()), uid=pa.array(uid[lo:hi]),
                     doc_id=batch.column(1).slice(lo, docs), n=pa.array(sizes),
                 )
-                size_bytes = sizes.astype("<u4").tobytes()
                 yield _batch(
                     PACKED_ARROW, len(used),
                     part=pa.array(used, pa.int32()), first=pa.array([int(uid[lo])] * len(used), pa.int64()),
-                    sizes=binary_list([size_bytes] * len(used)),
                     counts=binary_list([counts[p].tobytes() for p in used]),
                     grams=binary_list([packed[(ends[p - 1] if p else 0) : ends[p]].tobytes() for p in used]),
                 )
@@ -128,10 +135,10 @@ def _pack_grams(parts: int, width: int):
     return run
 
 
-SHARED = "dest int, uid long, doc_id long, n long, uids binary, sizes binary, grams binary"
+SHARED = "dest int, uid long, doc_id long, n long, uids binary, grams binary"
 SHARED_ARROW = pa.schema(
     [("dest", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()),
-     ("uids", pa.binary()), ("sizes", pa.binary()), ("grams", pa.binary())]
+     ("uids", pa.binary()), ("grams", pa.binary())]
 )
 
 
@@ -140,41 +147,40 @@ def _rank_shared(parts: int):
     frequency class, and send them to their document's partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, uids, sizes = [], [], []
+        grams, uids = [], []
         for batch in batches:
             cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             docs = batch.filter(cols["uid"].is_valid())
             if docs.num_rows:
                 yield _batch(
                     SHARED_ARROW, docs.num_rows,
-                    dest=docs.column(0), uid=docs.column(1), doc_id=docs.column(2), n=docs.column(3),
+                    dest=pa.array(bucket_of(docs.column(1).to_numpy(), parts), pa.int32()),
+                    uid=docs.column(1), doc_id=docs.column(2), n=docs.column(3),
                 )
             packs = batch.filter(cols["grams"].is_valid())
-            for first, size, count, gram in zip(
-                *(packs.column(packs.schema.get_field_index(k)).to_pylist() for k in ("first", "sizes", "counts", "grams")),
-                strict=True,
+            for first, count, gram in zip(
+                *(packs.column(packs.schema.get_field_index(k)).to_pylist() for k in ("first", "counts", "grams")), strict=True
             ):
-                wide = np.zeros((len(gram) // 7, 8), dtype=np.uint8)
-                wide[:, :7] = np.frombuffer(gram, dtype=np.uint8).reshape(-1, 7)
+                wide = np.zeros((len(gram) // 6, 8), dtype=np.uint8)
+                wide[:, :6] = np.frombuffer(gram, dtype=np.uint8).reshape(-1, 6)
                 count = np.frombuffer(count, dtype="<u4")
                 grams.append(wide.view("<u8").ravel())
                 uids.append(np.repeat(first + np.arange(len(count)), count))
-                sizes.append(np.repeat(np.frombuffer(size, dtype="<u4"), count))
         if not grams:
             return
-        gram, uid, size = np.concatenate(grams), np.concatenate(uids), np.concatenate(sizes)
-        del grams, uids, sizes
+        gram, uid = np.concatenate(grams), np.concatenate(uids)
+        del grams, uids
         order = np.argsort(gram)
         ordered = gram[order]
         begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         df = np.diff(np.append(begins, len(ordered)))
         keep = np.repeat(df > 1, df)
-        rank = np.minimum(255, np.round(8 * np.log2(df))).astype(np.uint64) << np.uint64(56)
+        rank = np.minimum(255, np.round(8 * np.log2(df))).astype(np.uint64) << np.uint64(48)
         key = (np.repeat(rank, df) | ordered)[keep]
-        uid, size = uid[order][keep], size[order][keep]
-        dest = uid % parts
+        uid = uid[order][keep]
+        dest = bucket_of(uid, parts)
         order = np.lexsort((uid, dest))
-        key, uid, size, dest = key[order], uid[order], size[order], dest[order]
+        key, uid, dest = key[order], uid[order], dest[order]
         cuts = np.searchsorted(dest, np.arange(parts + 1))
         used = [p for p in range(parts) if cuts[p + 1] > cuts[p]]
         for i in range(0, len(used), 64):
@@ -183,7 +189,6 @@ def _rank_shared(parts: int):
             yield _batch(
                 SHARED_ARROW, len(some),
                 dest=pa.array(some, pa.int32()), uids=binary_list([uid[c].astype("<i8").tobytes() for c in cut]),
-                sizes=binary_list([size[c].astype("<u4").tobytes() for c in cut]),
                 grams=binary_list([key[c].astype("<u8").tobytes() for c in cut]),
             )
 
@@ -203,17 +208,26 @@ def _ceil_part(n: int, num: int, den: int) -> int:
 
 
 def _gather_sets(num: int, den: int):
+    """Of the documents of a partition: shared n-grams in the global order, where enough are."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[np.frombuffer(x, dtype=t) for b in batches_ for x in b.column(k).to_pylist()]
-                 for batches_ in [list(batches)] for k, t in ((0, "<i8"), (1, "<u4"), (2, "<u8"))]
-        if not parts[0]:
+        doc, size, uids, keys = [], [], [], []
+        for batch in batches:
+            one, n, many, grams = (batch.column(i) for i in range(4))
+            doc.append(one.drop_null().to_numpy())
+            size.append(n.drop_null().to_numpy())
+            uids += [np.frombuffer(x, dtype="<i8") for x in many.drop_null().to_pylist()]
+            keys += [np.frombuffer(x, dtype="<u8") for x in grams.drop_null().to_pylist()]
+        if not uids:
             return
-        uid, size, key = (np.concatenate(p) for p in parts)
+        doc, size, uid, key = (np.concatenate(x) for x in (doc, size, uids, keys))
+        order = np.argsort(doc)
+        doc, size = doc[order], size[order]
         order = np.lexsort((key, uid))
-        uid, size, key = uid[order], size[order], key[order]
+        uid, key = uid[order], key[order]
         begins = np.flatnonzero(np.concatenate([[True], uid[1:] != uid[:-1]]))
         ends = np.append(begins[1:], len(uid))
-        n = size[begins].astype(np.int64)
+        n = size[np.searchsorted(doc, uid[begins])]
         fits = np.flatnonzero((ends - begins) * den >= num * n)
         for i in range(0, len(fits), 1000):
             some = fits[i : i + 1000]
@@ -466,25 +480,23 @@ def ngram_classes(
     and root, the smallest uid of its component (null: linked with nothing)."""
     spark = docs.sparkSession
     num, den = threshold
-    parts = parts_for(spark, text_bytes(docs, text_col), PART_BYTES)
+    parts = min(MOST_PARTS, parts_for(spark, text_bytes(docs, text_col), PART_BYTES))
     rows = numbered(docs, id_col, text_col).select("uid", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     packed = rows.mapInArrow(_pack_grams(parts, width), PACKED).repartitionById(parts, F.col("part"))
     ranked = saved(packed.mapInArrow(_rank_shared(parts), SHARED), "grams")
     metas = ranked.where("uid IS NOT NULL").select("uid", "doc_id", F.col("n").alias("n_shingles"))
-    shared = ranked.where("uids IS NOT NULL").select("dest", "uids", "sizes", "grams")
-    sets = saved(
-        shared.repartitionById(parts, F.col("dest")).select("uids", "sizes", "grams").mapInArrow(_gather_sets(num, den), SETS),
-        "sets",
-    )
+    dealt = ranked.select("dest", "uid", "n", "uids", "grams").repartitionById(parts, F.col("dest"))
+    sets, sets_name = saved_by(dealt.drop("dest").mapInArrow(_gather_sets(num, den), SETS), "sets", "uid", parts)
     copies = sets.where("digest IS NOT NULL").select("uid", "digest")
     first = copies.groupBy("digest").agg(F.min("uid").alias("b"))
     same = saved(copies.join(first, "digest").where("uid <> b").select(F.col("uid").alias("a"), "b"), "copies")
-    reps = sets.drop("digest").join(same.select(F.col("a").alias("uid")), "uid", "left_anti")
-    reps = saved(reps, "reps")
-    grams = saved(reps.select("uid", "n", "grams").mapInArrow(_prefix_grams(num, den), "gram long, uid long"), "prefixes")
-    near = saved(_tree_links(_hub_members(grams, reps), reps, num, den), "links")
-    far = saved(_tree_links(_cross_members(grams, reps, components(near)), reps, num, den), "links")
-    roots = components(same.unionAll(near).unionAll(far))
+    # exact copies of the first leave here; the wide rows of n-grams are not moved for it
+    grams = sets.select("uid", "n", "grams").mapInArrow(_prefix_grams(num, den), "gram long, uid long")
+    grams = saved(grams.join(same.select(F.col("a").alias("uid")), "uid", "left_anti"), "prefixes")
+    near = components(saved(_tree_links(_hub_members(grams, sets), sets, num, den), "links"))
+    far = saved(_tree_links(_cross_members(grams, sets, near), sets, num, den), "links")
+    spark.sql(f"DROP TABLE {sets_name}")  # the catalogue entry; files go with the shared folder
+    roots = components(same.unionAll(near.select(F.col("uid").alias("a"), F.col("root").alias("b"))).unionAll(far))
     return metas.join(roots, "uid", "left")
 
 
@@ -498,9 +510,14 @@ def ngram_components(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component (smallest id, then first row); same columns."""
+    """docs with one row of each component (smallest id, then first row); same columns.
+
+    docs is scanned twice and its rows are known by their place in the scan, so it
+    must be a stored table (as between pipeline stages), not a plan that may
+    deliver rows in another order; ``tables.saved`` makes one of any frame.
+    """
     uid = free_name(docs.columns, "row_number")
-    kept = saved(numbered(docs, *docs.columns, uid=uid), "numbered")
+    kept = numbered(docs, *docs.columns, uid=uid)
     rows = saved(ngram_classes(kept, uid, text_col).where("root IS NOT NULL").select("root", F.col("doc_id").alias(uid)), "classes")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", uid)
     members = rows.join(kept.select(uid, F.col(id_col).alias("id")), uid)

@@ -146,3 +146,11 @@ def test_chain_of_components(spark):
     got = {r.uid: r.root for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
     assert components(edges.limit(0)).count() == 0
+
+
+def test_buckets_are_those_of_spark(spark):
+    from strata.llm.tables import bucket_of
+
+    keys = [0, 1, -1, 7, 2**31, 2**33 + 5, -(2**62), 2**63 - 1]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long").select("k", F.expr("pmod(hash(k), 37)").alias("b")).collect()
+    assert bucket_of(np.array([r.k for r in rows]), 37).tolist() == [r.b for r in rows]
