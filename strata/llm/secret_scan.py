@@ -33,7 +33,7 @@ from strata.llm.tables import free_name
 KINDS = ["assign", "access", "hex", "novel"]
 CONTEXT = 64
 SURROUNDINGS = 2048
-NOVELTY = 0.8
+NOVELTY = 0.7  # random letters and digits take 0.74 bytes a character, however long
 LEVEL = 9
 # Identifiers that surround or resemble secrets without being any.
 IDENTIFIERS = (
