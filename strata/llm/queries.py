@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
+    bpe,
     context_mixing,
     decontamination,
+    hard_negatives,
     html_text,
     language_id,
     license_scan,
@@ -17,6 +19,7 @@ from strata.llm import (
     quality_rules,
     secret_scan,
     token_counts,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +83,21 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.held_out_scores(_documents(spark, sf_dir))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th embedding against all others."""
+    return hard_negatives.mined(hard_negatives.relabelled(_table(spark, sf_dir, "embeddings")))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the covariance's 32 largest components, whitened."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair ids of every document and the text they decode to, as digests."""
+    return bpe.round_trip_digests(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
@@ -92,10 +110,17 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_license_scan": op9_license_scan,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_whitening": op12_whitening,
+        "op13_bpe": op13_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express the operator on whole tables; the others are
     tested against brute force, round trips or held-out accuracy."""
-    return {"op8_quality_rules": quality_rules.ORACLE_SQL, "op9_license_scan": license_scan.ORACLE_SQL}
+    return {
+        "op8_quality_rules": quality_rules.ORACLE_SQL,
+        "op9_license_scan": license_scan.ORACLE_SQL,
+        "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+    }
