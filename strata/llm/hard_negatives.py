@@ -403,11 +403,18 @@ class Index:
         away = home.withColumn("to", others).where("`to` <> part").withColumn("part", F.col("to").cast("int")).drop("to")
         zones = self.blocks.drop("uids", "ids", "xs")
         plan = saved(self.met(zones, away, plan_part), "mining-plan")
-        chosen = plan.select(F.explode("wanted").alias("chosen")).distinct()
+        chosen = plan.select("wanted").mapInArrow(_distinct, "chosen long").distinct()
         read = self.met(self.blocks.join(chosen, F.col("block") == F.col("chosen"), "left_semi"), plan, search_planned)
         return saved(merged(home.unionByName(read), self.parts), "mining-found")
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Block numbers that any group wants, each once a batch: plans lie together by part,
+    so few blocks come twice."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0).flatten().unique()], names=["chosen"])
+
+
 def merged(rows: DataFrame, count: int) -> DataFrame:
     """One row a group, with the lists of all its rows merged; its part is not kept."""
     names = _arrow(_GROUP)
