@@ -78,6 +78,7 @@ def cmd_incremental(args) -> dict:
         "gold": paths.gold,
         "counts": paths.counts,
         "rejects": paths.rejects,
+        "malformed": paths.malformed,
     }
 
 

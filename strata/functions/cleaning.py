@@ -41,9 +41,8 @@ def is_finite(c: str | Column) -> Column:
     return F.coalesce(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), F.lit(False))
 
 
-# Largest amount a row may have: 2^53, up to which whole numbers are exact doubles;
-# a thousand such rows still fit the long total.
-MAX_AMOUNT = float(2**53)
+# Largest amount a row may have: the largest double that fits Gold's long total.
+MAX_AMOUNT = float(2**63 - 2**10)
 
 
 def normalise_status(c: str | Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.lineage import load_time
 from strata.schemas import BUSINESS_COLUMNS
+from strata.sources.files import MALFORMED_COLUMN, MALFORMED_FLAG
 
 
 def bronze(
@@ -36,3 +37,14 @@ def bronze(
         src.alias("source_file"),
         load_time(load_time_at).alias("load_time"),
     )
+
+
+def bronze_lines(lines: DataFrame, load_time_at: dt.datetime | None = None) -> DataFrame:
+    """Bronze of every line of a scan that carries ``malformed_line``: the rows as
+    :func:`bronze` gives them, with that line and a flag that tells the two kinds apart.
+    Written partitioned by the flag, good rows and malformed lines take one pass."""
+    flagged = lines.withColumn(MALFORMED_FLAG, F.col(MALFORMED_COLUMN).isNotNull())
+    good = [F.when(~F.col(MALFORMED_FLAG), F.col(c)).alias(c) for c in BUSINESS_COLUMNS]  # no half-parsed fields
+    return flagged.select(
+        *good, "source_file", load_time(load_time_at).alias("load_time"), MALFORMED_COLUMN, MALFORMED_FLAG
+    )

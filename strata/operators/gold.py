@@ -1,38 +1,56 @@
 """Gold: per-key business summary of Silver.
 
-One hash aggregate: Spark runs it partial (map side, one row per key per
-task) then final, so the shuffle carries at most ``tasks x keys`` rows no
-matter how the rows are spread over keys — a key holding a third of all
-orders costs the same as any other. The final sort is over the few result rows.
+Two hash aggregates. The first is by key and bin of the amount (see
+:mod:`strata.functions.exact_sum`; amounts in use are all in one bin) and runs partial
+(map side, one row per key and bin per task) then final, so the shuffle carries at most
+``tasks x keys x bins`` rows no matter how the rows are spread over keys — a key holding
+a third of all orders costs the same as any other. The second adds up the few bins of a
+key. The final sort is over the few result rows.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.exact_sum import DIGITS, exact_bin, exact_digits, truncated_total
 from strata.schemas import FAILED, SUCCESS
 
 # The Gold per-status counters and the status each one counts.
 GOLD_STATUS_COUNTS: dict[str, str] = {"success_orders": SUCCESS, "failed_orders": FAILED}
 
+BIN = "amount_bin"
 
-def exact_total(amount: str | Column) -> Column:
-    """Sum of a double amount, truncated to a long.
 
-    The sum runs over ``decimal(38,6)``: each amount is cut (never rounded up) to
-    six decimal places and the sum is then exact and independent of row order and
-    partitioning (a double sum of whole amounts stops being exact past 2^53,
-    which a large table reaches). The cast to long truncates, and under ANSI
-    it raises on overflow instead of returning a silent NULL; Silver rejects
-    single amounts beyond :data:`strata.functions.cleaning.MAX_AMOUNT`.
-    """
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    places = amount.cast("decimal(38,6)")
-    cut = F.when(places.cast("double") > amount, places - F.lit(Decimal("0.000001"))).otherwise(places)
-    return F.sum(cut.cast("decimal(38,6)")).cast("long")
+def summary_parts(
+    df: DataFrame,
+    key: str = "province",
+    id_col: str = "order_id",
+    amount_col: str = "amount",
+    status_col: str = "status",
+    status_counts: dict[str, str] | None = None,
+) -> DataFrame:
+    """One row per key and bin of the amount: counts and exact digit sums. It is one
+    aggregate, so a stream can keep it as its state."""
+    status_counts = GOLD_STATUS_COUNTS if status_counts is None else status_counts
+    amount, status = f"CAST(`{amount_col}` AS DOUBLE)", F.col(status_col)
+    return df.groupBy(key, F.expr(exact_bin(amount)).alias(BIN)).agg(
+        F.count(id_col).alias("total_orders"),
+        *[F.count_if(status == F.lit(label)).alias(name) for name, label in status_counts.items()],
+        *[F.expr(f"sum({digit})").alias(name) for name, digit in exact_digits(amount).items()],
+    )
+
+
+def summary_of_parts(parts: DataFrame, key: str = "province") -> DataFrame:
+    """The summary from its parts: the bins of a key added up, the total exact and
+    independent of row order and partitioning, then truncated to a long (a total beyond
+    a long raises instead of returning a silent NULL)."""
+    counts = [c for c in parts.columns if c not in (key, BIN, *DIGITS, "total_orders")]
+    return parts.groupBy(key).agg(
+        F.sum("total_orders").alias("total_orders"),
+        truncated_total(BIN, DIGITS).alias("total_amount"),
+        *[F.sum(c).alias(c) for c in counts],
+    )
 
 
 def summarise(
@@ -51,13 +69,7 @@ def summarise(
     key forms its own group. With ``order`` the result is sorted by
     ``total_amount`` descending (NULLs last), ties broken by key.
     """
-    status_counts = GOLD_STATUS_COUNTS if status_counts is None else status_counts
-    status = F.col(status_col)
-    out = df.groupBy(key).agg(
-        F.count(id_col).alias("total_orders"),
-        exact_total(amount_col).alias("total_amount"),
-        *[F.count_if(status == F.lit(label)).alias(name) for name, label in status_counts.items()],
-    )
+    out = summary_of_parts(summary_parts(df, key, id_col, amount_col, status_col, status_counts), key)
     return order_gold(out, key) if order else out
 
 

@@ -5,7 +5,7 @@ Rules apply in a fixed order and the first failing rule names the reason:
 1. ``missing_order_id``   order_id is NULL, empty or spaces only
 2. ``amount_not_numeric`` amount does not parse as a finite number
 3. ``amount_not_positive`` amount parses but is <= 0
-4. ``amount_out_of_range`` amount is too large to be summed exactly
+4. ``amount_out_of_range`` amount does not fit the long that Gold totals are
 
 A row passes when its reason is NULL. Every predicate here is NULL-free, so a
 row is always on exactly one side: ``bronze = silver + rejects``.

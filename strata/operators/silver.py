@@ -13,7 +13,7 @@ def silver(bronze_df: DataFrame) -> DataFrame:
     """Bronze -> Silver: drop rejected rows, type and normalise the rest.
 
     * rule 1: order_id present (not NULL, not blank)
-    * rule 2: amount parses to a finite double above 0 and up to 2^53
+    * rule 2: amount parses to a finite double above 0 that fits a long
     * rule 3: status -> ``upper(trim(status))``
     * rule 4: order_date parsed with ``yyyy-MM-dd``; a bad date becomes NULL
       and the row is kept

@@ -39,8 +39,10 @@ from strata.sources.files import (
     read_inferred_csv,
     read_layer,
     read_malformed,
+    read_malformed_lines,
     read_orders_csv,
     read_raw,
+    read_snapshot,
 )
 from strata.sources.fixtures import orders_clean, orders_src, orders_table, project_src
 from strata.sources.generate import generate_clean_orders, generate_dirty_orders, land_dirty_orders
@@ -233,6 +235,27 @@ def publish_layers_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def publish_layers_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of each layer that the published snapshot names: (layer, row)."""
+    local = run_pipeline(spark, orders_src(spark, sf_dir, with_source_file=True), scratch_path(spark, "lakehouse"))
+    target = scratch_path(spark, "published")
+    tables = {"bronze": "orders", "silver": "orders", "gold": "order_summary"}
+    publish_layers({layer: read_layer(spark, local.paths[layer]) for layer in LAYERS}, target, tables=tables)
+    found = read_snapshot(spark, target)
+    text = lambda c: F.coalesce(c.cast("string"), F.lit("-"))
+    columns = {layer: GOLD_SCHEMA.fieldNames() if layer == "gold" else BUSINESS_COLUMNS for layer in LAYERS}
+    out = None
+    for layer, df in found.items():
+        # Silver's doubles are printed alike in both engines as whole units and ten-millionths
+        cells = {c: [F.col(c)] for c in columns[layer]}
+        if layer == "silver":
+            amount = F.col("amount")
+            cells["amount"] = [F.floor(amount), F.round((amount - F.floor(amount)) * 10_000_000).cast("long")]
+        part = df.select(F.lit(layer).alias("layer"), F.concat_ws("|", *[text(c) for cs in cells.values() for c in cs]).alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold exported as one named CSV file, read back with the Gold schema."""
     target = scratch_path(spark, "export") + "/gold/order_summary.csv"
@@ -241,14 +264,21 @@ def export_gold_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rerun_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pipeline over half of the orders as CSV, then the other half arrives
-    and every layer is run again on its own, resuming what is still current."""
+    """The pipeline over half of the orders as CSV, first with other amounts of the same
+    length; then that half is rewritten in place, the other half arrives, and every layer
+    is run again on its own, resuming what is still current."""
     landing, base = scratch_path(spark, "landing"), scratch_path(spark, "lakehouse")
     rows = orders_src(spark, sf_dir)
     early = F.substring("customer_id", 6, 1) < "5"
-    write = lambda df, day: df.write.option("header", "true").options(**CSV_KEEP_BLANKS).csv(f"{landing}/day={day}")
-    write(rows.where(early), 1)
+
+    def write(df: DataFrame, day: int) -> None:
+        out = df.write.mode("overwrite").option("header", "true").options(**CSV_KEEP_BLANKS)
+        out.csv(f"{landing}/day={day}")
+
+    write(rows.where(early).withColumn("amount", F.translate("amount", "123456789", "912345678")), 1)
     run_pipeline(spark, f"{landing}/*", base)
+    write(rows.where(early), 1)
+    run_pipeline(spark, f"{landing}/*", base, resume=True)
     write(rows.where(~early), 2)
     run_pipeline(spark, f"{landing}/*", base, resume=True, stop_after="bronze")
     run_pipeline(spark, f"{landing}/*", base, resume=True, stop_after="silver")
@@ -266,9 +296,9 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_orders_csv(spark, path)
 
 
-def bronze_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw lines with a field too many or too few, whole. The lines land as text,
-    one file a task, each with the header."""
+def _land_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as raw lines, some with a field too many or too few: one file a task,
+    each with the header."""
     path = scratch_path(spark, "orders-lines")
     key = F.col("o_orderkey")
     field = lambda *extra: F.concat_ws(",", key, F.lit("C"), F.lit("P"), F.lit(7), *map(F.lit, extra))
@@ -283,7 +313,33 @@ def bronze_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.select(F.col("line").alias(",".join(BUSINESS_COLUMNS))).write.option("header", "true").option("sep", "\x01").option(
         "quote", ""
     ).csv(path)
-    return read_malformed(spark, path).select(MALFORMED_COLUMN)
+    return path
+
+
+def bronze_malformed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw lines with a field too many or too few, whole."""
+    return read_malformed(spark, _land_lines(spark, sf_dir)).select(MALFORMED_COLUMN)
+
+
+def _all_lines(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Good rows of a Bronze layer as lines again, and its malformed lines."""
+    good = read_layer(spark, bronze_path).select(F.concat_ws(",", *BUSINESS_COLUMNS).alias("line"), F.lit(False).alias("malformed"))
+    bad = read_malformed_lines(spark, bronze_path).select(F.col(MALFORMED_COLUMN).alias("line"), F.lit(True).alias("malformed"))
+    return good.unionByName(bad)
+
+
+def bronze_split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows and malformed lines of one Bronze pass: together every line of the input."""
+    result = run_pipeline(spark, _land_lines(spark, sf_dir), scratch_path(spark, "lakehouse"), stop_after="bronze")
+    return _all_lines(spark, result.paths["bronze"])
+
+
+def stream_bronze_split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same split by the exactly-once stream, run twice over a landing folder."""
+    landing, path = _land_lines(spark, sf_dir), scratch_path(spark, "bronze-stream")
+    for _ in range(2):
+        ingest_bronze(read_raw_stream(spark, landing), path)
+    return _all_lines(spark, path)
 
 
 # --- streaming ingest --------------------------------------------------------
@@ -382,6 +438,7 @@ def queries() -> dict[str, Query]:
         "gold_order_summary": gold_order_summary,
         "layered_gold_summary": layered_gold_summary,
         "publish_layers": publish_layers_counts,
+        "publish_layers_rows": publish_layers_rows,
         "export_single_csv": export_gold_csv,
         "stream_bronze_ingest": stream_bronze_ingest,
         "stream_gold_summary": stream_gold_summary,
@@ -389,6 +446,8 @@ def queries() -> dict[str, Query]:
         "rerun_gold_summary": rerun_gold_summary,
         "csv_typed_scan": csv_typed_scan,
         "bronze_malformed_lines": bronze_malformed_lines,
+        "bronze_split_lines": bronze_split_lines,
+        "stream_bronze_split_lines": stream_bronze_split_lines,
         "generate_shuffled_orders": generated_shuffled_orders,
         "generate_clean_orders": generated_clean_orders,
         "generate_dirty_orders": generated_dirty_orders,

@@ -21,7 +21,8 @@ def gold_sql(silver_sql: str) -> str:
     return f"""
 SELECT province,
        CAST(count(order_id) AS BIGINT) AS total_orders,
-       CAST(trunc(sum(amount)) AS BIGINT) AS total_amount,
+       -- whole parts as integers: a double sum is exact only up to 2^53
+       CAST(sum(CAST(floor(amount) AS HUGEINT)) + CAST(floor(sum(amount - floor(amount))) AS HUGEINT) AS BIGINT) AS total_amount,
        CAST(count(*) FILTER (WHERE status = 'SUCCESS') AS BIGINT) AS success_orders,
        CAST(count(*) FILTER (WHERE status = 'FAILED') AS BIGINT) AS failed_orders
 FROM {silver_sql} v
@@ -37,7 +38,7 @@ SELECT order_id, customer_id, province, TRY_CAST(amount AS DOUBLE) AS amount,
        CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date
 FROM {src} s
 WHERE order_id IS NOT NULL AND trim(order_id) <> ''
-  AND TRY_CAST(amount AS DOUBLE) > 0 AND TRY_CAST(amount AS DOUBLE) <= 9007199254740992
+  AND TRY_CAST(amount AS DOUBLE) > 0 AND TRY_CAST(amount AS DOUBLE) < 9223372036854775808::DOUBLE
   AND NOT isnan(TRY_CAST(amount AS DOUBLE)) AND NOT isinf(TRY_CAST(amount AS DOUBLE))
 )"""
 
@@ -50,6 +51,11 @@ SELECT CASE WHEN o_orderkey % 23 = 5 THEN concat_ws(',', o_orderkey, 'C', 'P', 7
             WHEN o_orderkey % 29 = 7 THEN concat_ws(',', o_orderkey, 'C', 'P', 7) END AS malformed_line
 FROM orders
 """
+SPLIT_LINES = f"""
+SELECT coalesce(malformed_line, concat_ws(',', o_orderkey, 'C', 'P', 7, 'S', '2026-01-01')) AS line,
+       malformed_line IS NOT NULL AS malformed
+FROM ({MALFORMED.replace("AS malformed_line", "AS malformed_line, o_orderkey")}) m
+"""
 ORDER_KEYS = "SELECT o_orderkey AS id FROM orders"
 
 
@@ -73,7 +79,7 @@ WITH b AS (
   SELECT *,
          (order_id IS NOT NULL AND trim(order_id) <> '') AS id_ok,
          (order_id IS NOT NULL AND trim(order_id) <> ''
-          AND coalesce(TRY_CAST(amount AS DOUBLE) > 0 AND TRY_CAST(amount AS DOUBLE) <= 9007199254740992
+          AND coalesce(TRY_CAST(amount AS DOUBLE) > 0 AND TRY_CAST(amount AS DOUBLE) < 9223372036854775808::DOUBLE
                        AND NOT isnan(TRY_CAST(amount AS DOUBLE))
                        AND NOT isinf(TRY_CAST(amount AS DOUBLE)), false)) AS all_ok
   FROM {SRC} s
@@ -91,7 +97,7 @@ SELECT order_id, customer_id, province, amount, status, order_date,
             WHEN TRY_CAST(amount AS DOUBLE) IS NULL OR isnan(TRY_CAST(amount AS DOUBLE))
                  OR isinf(TRY_CAST(amount AS DOUBLE)) THEN 'amount_not_numeric'
             WHEN TRY_CAST(amount AS DOUBLE) <= 0 THEN 'amount_not_positive'
-            WHEN TRY_CAST(amount AS DOUBLE) > 9007199254740992 THEN 'amount_out_of_range'
+            WHEN TRY_CAST(amount AS DOUBLE) >= 9223372036854775808::DOUBLE THEN 'amount_out_of_range'
        END AS reject_reason
 FROM {SRC} s
 """
@@ -136,6 +142,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'bronze' AS layer, CAST(count(*) AS BIGINT) AS n FROM {SRC} s
             UNION ALL SELECT 'silver', CAST(count(*) AS BIGINT) FROM {SILVER} v
             UNION ALL SELECT 'gold', CAST(count(*) AS BIGINT) FROM ({GOLD}) g""",
+        "publish_layers_rows": f"""
+            SELECT 'bronze' AS layer, concat_ws('|', coalesce(order_id, '-'), coalesce(customer_id, '-'),
+              coalesce(province, '-'), coalesce(amount, '-'), coalesce(status, '-'), coalesce(order_date, '-')) AS row
+            FROM {SRC} s
+            UNION ALL SELECT 'silver', concat_ws('|', order_id, customer_id, province, CAST(floor(amount) AS BIGINT),
+              CAST(round((amount - floor(amount)) * 10000000) AS BIGINT), status, coalesce(CAST(order_date AS VARCHAR), '-'))
+            FROM {SILVER} v
+            UNION ALL SELECT 'gold', concat_ws('|', province, total_orders, total_amount, success_orders, failed_orders)
+            FROM ({GOLD}) g""",
         "export_single_csv": GOLD,
         "stream_bronze_ingest": BRONZE_VIEW,
         "stream_gold_summary": GOLD,
@@ -147,6 +162,8 @@ def oracle_sql() -> dict[str, str]:
             FROM {CLEAN} c""",
         "bronze_malformed_lines": f"""
             SELECT malformed_line FROM ({MALFORMED}) m WHERE malformed_line IS NOT NULL""",
+        "bronze_split_lines": SPLIT_LINES,
+        "stream_bronze_split_lines": SPLIT_LINES,
         "generate_shuffled_orders": dirty_orders_sql(ORDER_KEYS),
         "generate_clean_orders": clean_orders_sql(ORDER_KEYS),
         "generate_dirty_orders": dirty_orders_sql(ORDER_KEYS),

@@ -12,12 +12,15 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.bronze import bronze
+from strata.operators.bronze import bronze, bronze_lines
 from strata.operators.gold import gold
 from strata.operators.quality import (
     MISSING_ORDER_ID,
@@ -35,9 +38,10 @@ from strata.sinks.layers import (
     layer_complete,
     layer_path,
     refuse_foreign,
+    take_snapshot,
     write_layer,
 )
-from strata.sources.files import read_layer, read_malformed, read_raw
+from strata.sources.files import MALFORMED_COLUMN, MALFORMED_FLAG, read_layer, read_lines
 
 
 @dataclass
@@ -66,10 +70,10 @@ def source_roots(spark: SparkSession, source: DataFrame | str | list[str]) -> li
         for leaf in _scala(source._jdf.queryExecution().analyzed().collectLeaves()):
             if leaf.getClass().getSimpleName() != "LogicalRelation" or not hasattr(leaf.relation(), "location"):
                 return None
-            roots += [p.toString() for p in _scala(leaf.relation().location().rootPaths())]
-        paths = [jvm.org.apache.hadoop.fs.Path(r) for r in roots]
-    else:
-        paths = [jvm.org.apache.hadoop.fs.Path(x) for x in ([source] if isinstance(source, str) else source)]
+            roots += _scala(leaf.relation().location().rootPaths())
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        return sorted({_plain(p.getFileSystem(conf), p) for p in roots})  # names already, no patterns
+    paths = [jvm.org.apache.hadoop.fs.Path(x) for x in ([source] if isinstance(source, str) else source)]
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = []
     for path in paths:
@@ -89,19 +93,18 @@ def _plain(fs, path) -> str:
 
 
 def source_id(spark: SparkSession, source: DataFrame | str | list[str]) -> str | None:
-    """What a source holds now: its roots with their size, number of files and
-    time of change (asked of the file system, not of a file list). None when it
-    can't be told."""
+    """What a source holds now: a digest of path, length and time of change of every
+    file, added up in tasks in any order. None when it can't be told."""
     roots = source_roots(spark, source)
     if not roots:
         return None
-    state = []
-    for root in roots:
-        p, fs = _hadoop_path(spark, root)
-        summary = fs.getContentSummary(p)
-        changed = fs.getFileStatus(p).getModificationTime()
-        state.append([root, summary.getLength(), summary.getFileCount(), changed])
-    return hashlib.sha256(json.dumps(state).encode()).hexdigest()
+    escaped = [re.sub(r"([\\{}\[\]*?])", r"\\\1", root) for root in roots]  # names, no patterns
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(escaped)
+    # the content is not selected, so no file is opened
+    facts = F.sha2(F.concat_ws("\n", "path", "length", F.unix_micros("modificationTime")), 256)
+    digits = [F.conv(F.substring(facts, 1 + 15 * k, 15), 16, 10).cast("decimal(38,0)") for k in range(4)]
+    found = files.agg(F.count(F.lit(1)).alias("n"), *[F.sum(d).alias(f"d{k}") for k, d in enumerate(digits)]).first()
+    return hashlib.sha256(json.dumps([roots, *map(str, found)]).encode()).hexdigest()
 
 
 def _check_no_overlap(spark: SparkSession, source: DataFrame | str | list[str], layer_paths: list[str]) -> None:
@@ -114,10 +117,21 @@ def _check_no_overlap(spark: SparkSession, source: DataFrame | str | list[str],
                 raise ValueError(f"source {item} overlaps layer {own}; write the layers elsewhere")
 
 
-def _observed_count(obs: Observation | None, key: str) -> int | None:
-    if obs is None:
-        return None
-    return int(obs.get[key])
+def _observed(obs: Observation) -> dict[str, int]:
+    return {k: int(v) for k, v in obs.get.items()}
+
+
+@contextmanager
+def _files_side_by_side(spark: SparkSession, most: int) -> Iterator[None]:
+    """Let a write keep a file open for each of ``most`` partition values instead of
+    sorting every task's rows by them."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, "0")
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def run_pipeline(
@@ -135,12 +149,15 @@ def run_pipeline(
     """Run the layers under ``base``; returns paths and stage counts.
 
     ``source`` is a raw DataFrame (all-text business columns, optionally with
-    ``source_file``) or a path/glob of raw CSV files. CSV lines with a wrong
-    number of fields are kept whole in ``<table>_malformed`` next to Bronze and
-    counted as ``malformed``.
+    ``source_file``) or a path/glob of raw CSV files. These are scanned once: CSV
+    lines with a wrong number of fields are kept whole in a partition of the Bronze
+    build (:func:`strata.sources.files.read_malformed_lines`) and counted as
+    ``malformed``.
 
-    Every layer records the build it was made from (Bronze: the state of the
-    source's paths). With ``resume`` a layer is kept only if that is still its
+    Every layer records the build it was made from (Bronze: a digest of the
+    source's files) and the counts of its write, so a resumed run reports those of the
+    layers it keeps. Once all three layers are of one run, a snapshot of the base names
+    them together. With ``resume`` a layer is kept only if that is still its
     input, so new raw files are never passed over; a DataFrame source counts as
     unchanged when the paths it scans are. ``start_at`` rebuilds from the named
     layer on, from the layers before it as they are (no source needed), and
@@ -190,24 +207,25 @@ def run_pipeline(
         return None
 
     # Bronze: raw rows + lineage.
-    obs_b = malformed = None
     bronze_build = kept("bronze", built_from)
     if bronze_build is None:
         obs_b = Observation("bronze")
-        by_path = isinstance(source, (str, list))
-        raw = read_raw(spark, source, whole_lines=True) if by_path else source
-        rows = bronze(raw, load_time_at).observe(obs_b, F.count(F.lit(1)).alias("rows"))
-        if by_path:
-            obs_m = Observation("malformed")
-            lines = read_malformed(spark, source).observe(obs_m, F.count(F.lit(1)).alias("rows"))
-            write_layer(lines, paths["bronze"] + "_malformed", built_from=built_from)
-            malformed = _observed_count(obs_m, "rows")
-        bronze_build = write_layer(rows, paths["bronze"], built_from=built_from)
+        if isinstance(source, (str, list)):
+            line = F.col(MALFORMED_COLUMN)
+            rows = bronze_lines(read_lines(spark, source), load_time_at).observe(
+                obs_b, F.count_if(line.isNull()).alias("bronze"), F.count_if(line.isNotNull()).alias("malformed")
+            )
+            with _files_side_by_side(spark, 2):
+                bronze_build = write_layer(
+                    rows, paths["bronze"], [MALFORMED_FLAG], built_from, lambda: _observed(obs_b), BRONZE_SCHEMA
+                )
+        else:
+            rows = bronze(source, load_time_at).observe(obs_b, F.count(F.lit(1)).alias("bronze"))
+            bronze_build = write_layer(rows, paths["bronze"], None, built_from, lambda: _observed(obs_b))
 
     # Silver: rules over the Bronze layer. The reject reason is computed once
     # per row; its counts are observed during the write and the Silver filter
     # keeps the rows without one.
-    obs_s = None
     silver_build = kept("silver", bronze_build.id) if stop_after != "bronze" else None
     if stop_after != "bronze" and silver_build is None:
         obs_s = Observation("silver")
@@ -215,26 +233,26 @@ def run_pipeline(
         silver_build = write_layer(
             silver(bronze_df.observe(obs_s, *reason_metrics())),
             paths["silver"],
-            partition_by=silver_partition_by,
-            built_from=bronze_build.id,
+            silver_partition_by,
+            bronze_build.id,
+            lambda: _observed(obs_s),
         )
 
     # Gold: summary over the Silver layer. Readers order it; a layer is not sorted.
-    obs_g = None
-    if stop_after == "gold" and kept("gold", silver_build.id) is None:
+    gold_build = kept("gold", silver_build.id) if stop_after == "gold" else None
+    if stop_after == "gold" and gold_build is None:
         obs_g = Observation("gold")
         silver_df = read_layer(spark, paths["silver"], BUSINESS_COLUMNS, schema=SILVER_SCHEMA)
-        rows = gold(silver_df, order=False).observe(obs_g, F.count(F.lit(1)).alias("rows"))
-        write_layer(rows, paths["gold"], built_from=silver_build.id)
-
-    result.rejects = {r: _observed_count(obs_s, r) for r in REASONS}
-    scanned = _observed_count(obs_s, "bronze")
-    result.counts = dict.fromkeys(("bronze", "after_order_id", "after_amount", "silver"))
-    if scanned is not None:
-        result.counts |= stage_counts_of(scanned, result.rejects)
-    if obs_b:
-        result.counts["bronze"] = _observed_count(obs_b, "rows")
-    result.counts["gold"] = _observed_count(obs_g, "rows")
-    if malformed is not None:
-        result.counts["malformed"] = malformed
+        rows = gold(silver_df, order=False).observe(obs_g, F.count(F.lit(1)).alias("gold"))
+        gold_build = write_layer(rows, paths["gold"], None, silver_build.id, lambda: _observed(obs_g))
+    one_run = gold_build and (gold_build.built_from, silver_build.built_from) == (silver_build.id, bronze_build.id)
+    if one_run and len(result.skipped) < len(LAYERS):
+        take_snapshot(spark, base, {"bronze": bronze_build, "silver": silver_build, "gold": gold_build})
+
+    result.rejects = dict.fromkeys(REASONS)
+    result.counts = dict.fromkeys(("bronze", "after_order_id", "after_amount", "silver", "gold"))
+    if silver_build and silver_build.counts:
+        result.rejects = {r: silver_build.counts[r] for r in REASONS}
+        result.counts |= stage_counts_of(silver_build.counts["bronze"], result.rejects)
+    result.counts |= bronze_build.counts | (gold_build.counts if gold_build else {})
     return result

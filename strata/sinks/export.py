@@ -14,10 +14,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.gold import order_gold
-from strata.sinks.layers import POINTER, _hadoop_path, delete_path, path_exists, replace_file
+from strata.sinks.layers import POINTERS, _hadoop_path, delete_path, path_exists
 from strata.sources.files import CSV_KEEP_BLANKS, read_layer
 
 
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file onto ``target``, replacing it in one step."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path(target).toUri(), conf)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files.rename(path(source), path(target), options)
+
+
 def export_single_csv(df: DataFrame, final_path: str, header: bool = True) -> str:
     """Write ``df`` (row order kept) to exactly one CSV file at ``final_path``."""
     spark = df.sparkSession
@@ -55,7 +67,7 @@ def export_layers_csv(
     for layer in ("bronze", "silver"):
         if layer in paths:
             target = f"{out}/{layer}/orders"
-            if any(path_exists(spark, f"{folder}/{POINTER}") for folder in (target, f"{out}/{layer}", out)) or path_exists(
+            if any(path_exists(spark, f"{folder}/{POINTERS}") for folder in (target, f"{out}/{layer}", out)) or path_exists(
                 spark, f"{target}/_spark_metadata"
             ):
                 raise ValueError(f"{target} is part of a layer; export the CSV copies elsewhere")

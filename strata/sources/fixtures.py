@@ -36,6 +36,8 @@ SRC_COLUMNS: dict[str, str] = {
     "amount": (
         "CASE WHEN o_orderkey % 17 = 8 THEN CASE o_orderkey % 3 WHEN 0 THEN '0' WHEN 1 THEN '-1' "
         "ELSE '-50000' END WHEN o_orderkey % 101 = 50 THEN 'abc' WHEN o_orderkey % 211 = 9 THEN NULL "
+        "WHEN o_orderkey % 997 = 5 THEN '1e33' WHEN o_orderkey % 4001 = 13 THEN '1e16' "
+        "WHEN o_orderkey % 499 = 17 THEN '0.9999999' WHEN o_orderkey % 1009 = 4 THEN '0.0000004' "
         "ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS {S}) END"
     ),
     "status": (

@@ -19,9 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from strata.functions.lineage import source_file
-from strata.operators.bronze import bronze
+from strata.operators.bronze import bronze, bronze_lines
 from strata.schemas import RAW_SCHEMA
-from strata.sources.files import CSV_KEEP_BLANKS
+from strata.sources.files import CSV_WHOLE_LINES, MALFORMED_COLUMN, MALFORMED_FLAG, lines_schema
 
 
 def read_raw_stream(
@@ -34,7 +34,8 @@ def read_raw_stream(
     with_source_file: bool = True,
     archive_dir: str | None = None,
 ) -> DataFrame:
-    """Streaming counterpart of :func:`strata.sources.files.read_raw`.
+    """Streaming counterpart of :func:`strata.sources.files.read_lines` (CSV; lines with
+    a wrong number of fields are whole in ``malformed_line``) and ``read_raw`` (others).
 
     ``archive_dir`` moves processed files out of the landing folder (Spark's
     ``cleanSource=archive``), so the folder listed at every trigger stays
@@ -42,9 +43,10 @@ def read_raw_stream(
     when a later batch commits, i.e. during the next run that finds new
     files; the archive must lie outside the landing path.
     """
-    reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "true").option("enforceSchema", "false").options(**CSV_KEEP_BLANKS)
+    csv = fmt == "csv"
+    reader = spark.readStream.schema(lines_schema(schema) if csv else schema).format(fmt)
+    if csv:
+        reader = reader.options(**CSV_WHOLE_LINES)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -54,7 +56,8 @@ def read_raw_stream(
     df = reader.load(path)
     if not with_source_file:
         return df
-    return df.select(*schema.fieldNames(), source_file().alias("source_file"))
+    line = [MALFORMED_COLUMN] if csv else []
+    return df.select(*schema.fieldNames(), *line, source_file().alias("source_file"))
 
 
 def checkpoint_for(bronze_path: str) -> str:
@@ -75,11 +78,15 @@ def ingest_bronze(
     Without ``processing_time`` the query processes everything available
     now and returns once finished; with it, the query keeps running.
     ``transform`` maps a differently shaped source onto the raw columns first.
+    Malformed lines of CSV go to a partition of their own, through the same commit
+    log, so they too are there exactly once.
     """
     raw = transform(raw_stream) if transform else raw_stream
+    lines = MALFORMED_COLUMN in raw.columns
+    rows = (bronze_lines if lines else bronze)(raw, load_time_at).writeStream
     writer = (
-        bronze(raw, load_time_at)
-        .writeStream.format("parquet")
+        (rows.partitionBy(MALFORMED_FLAG) if lines else rows)
+        .format("parquet")
         .outputMode("append")
         .option("path", bronze_path)
         .option("checkpointLocation", checkpoint or checkpoint_for(bronze_path))

@@ -7,8 +7,8 @@ with an ``availableNow`` trigger, checkpointed in the shared folder:
 * Bronze -> Silver is stateless: new Bronze files (read through the file
   sink's commit log, so only committed files) are filtered and typed, and
   appended to the Silver layer.
-* Silver -> Gold is a streaming aggregation whose state holds one row per
-  province, however many orders arrive. After each micro-batch the complete
+* Silver -> Gold is a streaming aggregation whose state holds the parts of the
+  summary: one row per province and bin of its amounts, however many orders arrive. After each micro-batch the complete
   Gold table is written as a new build and becomes the current one
   (``foreachBatch``; a replay of the same batch writes the same rows).
 
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from strata.operators.gold import gold, order_gold
+from strata.operators.gold import order_gold, summary_of_parts, summary_parts
 from strata.operators.quality import (
     REASONS,
     reason_metrics,
@@ -37,6 +37,7 @@ from strata.operators.silver import silver
 from strata.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from strata.plans.pipeline import stage_counts_of
 from strata.sinks.layers import current_build, layer_path, write_layer
+from strata.sources.files import MALFORMED_FLAG, is_malformed, read_malformed_lines
 from strata.streaming.ingest import checkpoint_for, ingest_bronze, read_raw_stream
 
 
@@ -82,7 +83,10 @@ def refine_silver(
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = with_reject_reason(reader.parquet(bronze_path))
+    rows = reader.parquet(bronze_path)
+    if MALFORMED_FLAG in rows.columns:
+        rows = rows.where(~is_malformed()).drop(MALFORMED_FLAG)
+    stream = with_reject_reason(rows)
     counter = Counter()
     spark.streams.addListener(counter)
     try:
@@ -131,10 +135,10 @@ def maintain_gold(
     stream = reader.parquet(silver_path)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        write_layer(order_gold(batch), gold_path, built_from=f"batch-{batch_id}")
+        write_layer(order_gold(summary_of_parts(batch)), gold_path, built_from=f"batch-{batch_id}")
 
     writer = (
-        gold(stream, order=False)
+        summary_parts(stream)
         .writeStream.outputMode("complete")
         .foreachBatch(publish)
         .option("checkpointLocation", checkpoint or checkpoint_for(gold_path))
@@ -153,6 +157,8 @@ class IncrementalPaths:
     # Rows this run moved from Bronze to Silver, per stage and per reason.
     counts: dict[str, int] | None = None
     rejects: dict[str, int] | None = None
+    # Lines with a wrong number of fields that Bronze holds whole, of all runs.
+    malformed: int = 0
 
 
 def run_incremental(
@@ -188,6 +194,7 @@ def run_incremental(
     else:
         raw = raw_stream
     ingest_bronze(raw, paths.bronze, load_time_at=load_time_at, transform=transform)
+    paths.malformed = read_malformed_lines(spark, paths.bronze).count()
     _, totals = refine_silver(spark, paths.bronze, paths.silver, max_files_per_trigger=max_files_per_trigger)
     paths.rejects = {r: totals[r] for r in REASONS}
     paths.counts = stage_counts_of(totals["bronze"], paths.rejects)

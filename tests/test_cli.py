@@ -1,4 +1,4 @@
-"""The command line runs end to end in its own process."""
+"""The command line runs end to end: once in its own process, else in this one."""
 
 from __future__ import annotations
 
@@ -7,10 +7,14 @@ import os
 import subprocess
 import sys
 
+import pytest
+
+from strata.__main__ import main
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def _run(*args: str) -> dict:
+def _own_process(*args: str) -> dict:
     out = subprocess.run(
         [sys.executable, "-m", "strata", "--master", "local[2]", *args],
         cwd=ROOT, capture_output=True, text=True, timeout=600, check=True,
@@ -18,7 +22,16 @@ def _run(*args: str) -> dict:
     return json.loads(out)
 
 
-def test_generate_pipeline_and_summaries(tmp_path):
+@pytest.fixture()
+def _run(spark, capsys):
+    def run(*args: str) -> dict:
+        assert main(list(args)) == 0
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    return run
+
+
+def test_generate_pipeline_and_summaries(tmp_path, _run):
     raw = str(tmp_path / "landing")
     _run("generate", "--rows", "2500", "--out", raw)
     res = _run("pipeline", "--source", raw, "--base", str(tmp_path / "lake"), "--export-gold", str(tmp_path / "gold.csv"))
@@ -39,8 +52,8 @@ def test_generate_pipeline_and_summaries(tmp_path):
     assert sum(int(r.split(",")[1]) for r in rows) == 500
 
 
-def test_sample_and_layer_csv_exports(tmp_path):
-    out = _run("sample", "--out", str(tmp_path / "sample"))
+def test_sample_and_layer_csv_exports(tmp_path, _run):
+    out = _own_process("sample", "--out", str(tmp_path / "sample"))
     with open(out["by_province"]) as f:
         assert f.read().splitlines() == [
             "province,total_orders,total_amount", "Lao Cai,2,3000095500", ",1,610000", "Ben Tre,1,331000", "Nghe An,1,12250",
@@ -59,7 +72,7 @@ def test_sample_and_layer_csv_exports(tmp_path):
         assert len(f.read().splitlines()) == 6
 
 
-def test_incremental_command(tmp_path):
+def test_incremental_command(tmp_path, _run):
     landing = str(tmp_path / "landing")
     _run("generate", "--rows", "1200", "--out", landing)
     first = _run("incremental", "--landing", landing, "--base", str(tmp_path / "lake"), "--archive", str(tmp_path / "archive"))

@@ -48,4 +48,4 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["province", "total_orders", "total_amount", "success_orders", "failed_orders"]
     assert len(rows) == 5
-    assert rows[0].province == "DaNang" and rows[0].total_amount == 67728160
+    assert rows[0].province == "CanTho" and rows[0].total_amount == 10000000065689627

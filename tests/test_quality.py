@@ -24,7 +24,7 @@ ROWS = [
     ("12", "CUS012", "DaNang", "1e3", "Failed", "2026-13-01"),  # bad date kept as NULL
     ("13", "CUS013", None, "50", "pending", "2026-1-5"),  # NULL province, non-padded date
     ("14", "CUS014", "DaNang", "7", None, None),  # NULL status and date
-    ("15", "CUS015", "DaNang", "1e33", "SUCCESS", None),  # finite, but beyond an exact sum
+    ("15", "CUS015", "DaNang", "1e33", "SUCCESS", None),  # finite, but beyond a long
 ]
 
 

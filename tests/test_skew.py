@@ -12,7 +12,8 @@ from tests.conftest import SF001
 
 def test_hot_key_shuffles_only_partial_rows(tmp_path):
     """A province holding ~70 % of the orders: Gold's exchange still carries at
-    most (map tasks x provinces) rows, read from Spark's own shuffle metrics."""
+    most (map tasks x provinces x bins of the amount) rows, read from Spark's own
+    shuffle metrics. The orders' amounts lie in two bins: one, and a few tiny ones."""
     import duckdb
 
     from strata.plans.oracles import SRC, gold_sql, silver_sql
@@ -25,7 +26,7 @@ def test_hot_key_shuffles_only_partial_rows(tmp_path):
     totals = {p: v[0] for p, v in res["gold"].items()}
     assert totals["Hanoi"] / sum(totals.values()) > 0.6  # the hot key
     partial_stages = [int(s) for s, n in res["stage_tasks"].items() if n == 8]
-    assert partial_stages and all(res["stage_records"][str(s)] <= 8 * 5 for s in partial_stages)
+    assert partial_stages and all(res["stage_records"][str(s)] <= 8 * 5 * 2 for s in partial_stages)
 
     con = duckdb.connect()
     con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{SF001}/orders.parquet')")
