@@ -2,10 +2,9 @@
 
 Every document is measured in its own row; rule failures are counted by host,
 each host's failure rate is shrunk towards the corpus by a beta prior that is
-fitted to all hosts, and the host's verdict is joined back to its documents. A
-document is kept when its own text passes the base rules and its host is not
-rejected. A host with few documents stays near the corpus rate, so a handful
-of bad pages does not condemn a small site.
+fitted to all hosts, and the host's verdict is joined back to its documents. A host
+with few documents stays near the corpus rate, so a handful of bad pages neither
+condemns a small site nor a few good ones clear it.
 
 A word is ``[^\\x20\\x09-\\x0D]+``. Rules of a document:
 
@@ -14,13 +13,20 @@ A word is ``[^\\x20\\x09-\\x0D]+``. Rules of a document:
 * symbols: symbols ``#*$%&|<>`` above a tenth of the characters in words
 * lines: over half of its lines with a word equal an earlier line
 
-A host fails when its shrunk rate of documents failing any rule exceeds one
-half and its own rate exceeds the corpus rate.
+With p the corpus rate of documents failing any rule, the prior's mean, a host is
+
+* rejected when its shrunk rate is over halfway from p to 1: all its documents go
+* trusted when its shrunk rate is below TRUST times p: a document of it that breaks a
+  rule beyond the base ones (a table, a listing) is kept
+* neither otherwise: documents that break any rule go
+
+A document that breaks a base rule goes in any case.
 
 Cases: null or blank text has no words, so it is rejected as short; a null host
 is a host of its own; repeated rows are judged alike and all returned; an empty
 table gives an empty result; columns of other names pass through the filter.
-Windows are compared by 64-bit hashes within one document.
+Texts are measured whole, however long; a document's measures stay in its row. Windows
+are compared by 64-bit hashes within one document.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from strata.llm.tables import free_name, saved
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-MAX_HOST_RATE = 0.5
+TRUST = 0.5
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SPACES = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
@@ -119,7 +125,7 @@ def measured(docs: DataFrame, text_col: str, prefix: str = "") -> DataFrame:
 
 
 def host_rates(rows: DataFrame) -> DataFrame:
-    """rows(host, rule_failed) -> (host, n_docs, n_failed, rate, rejected).
+    """rows(host, rule_failed) -> (host, n_docs, n_failed, rate, rejected, trusted).
 
     The prior's mean is the corpus rate p; its strength follows from the part of
     the variance between hosts that binomial noise does not explain (the
@@ -135,7 +141,7 @@ def host_rates(rows: DataFrame) -> DataFrame:
     ).first()
     p, strength = beta_prior(hosts, docs or 0, failed or 0, squares or 0.0, pairs or 0.0)
     rate = (k + p * strength) / (n + strength)
-    return counts.withColumn("rate", rate).withColumn("rejected", (rate > MAX_HOST_RATE) & (k / n > p))
+    return counts.withColumns({"rate": rate, "rejected": rate > (1 + p) / 2, "trusted": rate < TRUST * p})
 
 
 def beta_prior(hosts: int, docs: int, failed: int, squares: float, pairs: float) -> tuple[float, float]:
@@ -152,27 +158,42 @@ def beta_prior(hosts: int, docs: int, failed: int, squares: float, pairs: float)
     return p, 1 / rho - 1
 
 
+def verdict(base_failed: Column, rule_failed: Column, rejected: Column, trusted: Column) -> Column:
+    """Whether a document is kept."""
+    return ~base_failed & ~rejected & (~rule_failed | trusted)
+
+
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per document: id, the measures, base_failed, its host's rate and verdict, kept."""
+    """One row per document: id, the measures, base_failed, kept, its host's rate."""
     own = docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{host_col}`").alias("host"), F.col(f"`{text_col}`").alias("text")
     )
     rows = saved(measured(own, "text").drop("text"), "measures")
-    hosts = host_rates(rows).select(F.col("host").alias("verdict_host"), "rate", "rejected")
+    hosts = host_rates(rows).select(F.col("host").alias("verdict_host"), "rate", "rejected", "trusted")
     return rows.join(hosts, F.col("host").eqNullSafe(F.col("verdict_host")), "left").select(
-        "doc_id", *MEASURES, "base_failed", (~F.col("base_failed") & ~F.col("rejected")).alias("kept"),
+        "doc_id", *MEASURES, "base_failed",
+        verdict(F.col("base_failed"), F.col("rule_failed"), F.col("rejected"), F.col("trusted")).alias("kept"),
         F.round("rate", 6).alias("host_rate"),
     )
 
 
 def passing(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """docs without the rejected ones; same columns."""
-    rows = measured(docs.select(F.col(f"`{host_col}`").alias("host"), F.col(f"`{text_col}`").alias("text")), "text")
-    bad = host_rates(rows.select("host", "rule_failed")).where("rejected").select(F.col("host").alias("bad_host"))
-    names = [f"`{c}`" for c in docs.columns]
+    """docs without the rejected ones; same columns. Every text is measured once: the
+    rows that pass the base rules are written with the outcome, and host rates, which
+    need all rows, come from a narrow table beside them."""
     prefix = free_name([c[:2] for c in docs.columns], "q_")
-    kept = measured(docs, text_col, prefix).where(~F.col(f"`{prefix}base_failed`")).select(*names)
-    return kept.join(bad, F.col(f"`{host_col}`").eqNullSafe(F.col("bad_host")), "left_anti")
+    names = [f"`{c}`" for c in docs.columns]
+    base_failed, rule_failed = F.col(f"`{prefix}base_failed`"), F.col(f"`{prefix}rule_failed`")
+    own = {f"{prefix}host": F.col(f"`{host_col}`"), f"{prefix}text": F.when(~base_failed, F.col(f"`{text_col}`"))}
+    measures = measured(docs, text_col, prefix).withColumns(own)
+    rest = [n for n in names if n != f"`{text_col}`"]
+    rows = saved(measures.select(*rest, *[f"`{prefix}{c}`" for c in ("text", "host", "base_failed", "rule_failed")]), "judged")
+    hosts = host_rates(rows.select(F.col(f"`{prefix}host`").alias("host"), rule_failed.alias("rule_failed")))
+    hosts = hosts.select(*[F.col(c).alias(f"{prefix}v_{c}") for c in ("host", "rejected", "trusted")])
+    same = F.col(f"`{prefix}host`").eqNullSafe(F.col(f"{prefix}v_host"))
+    kept = verdict(base_failed, rule_failed, F.col(f"{prefix}v_rejected"), F.col(f"{prefix}v_trusted"))
+    out = rows.where(~base_failed).join(hosts, same, "left").where(kept)
+    return out.select(*[F.col(f"`{prefix}text`" if c == text_col else f"`{c}`").alias(c) for c in docs.columns])
 
 
 ORACLE_SQL = r"""
@@ -213,9 +234,9 @@ WITH d AS (
 ), m AS (
   SELECT p, 1 / least(0.999::DOUBLE, greatest(0.001::DOUBLE, rho)) - 1 AS strength FROM e
 ), v AS (
-  SELECT source, (k + p * strength) / (n + strength) AS rate, k / n > p AS above FROM h, m
+  SELECT source, p, (k + p * strength) / (n + strength) AS rate FROM h, m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (rate > 0.5 AND above) AS kept, round(rate, 6) AS host_rate
+  NOT base_failed AND rate <= (1 + p) / 2 AND (NOT rule_failed OR rate < 0.5 * p) AS kept, round(rate, 6) AS host_rate
 FROM x JOIN v ON x.source IS NOT DISTINCT FROM v.source
 """

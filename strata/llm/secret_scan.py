@@ -6,21 +6,27 @@ Pattern spans (leftmost, not overlapping within a kind, whole match):
 * access: ``AKIA`` and capitals or digits, 20 characters or more
 * hex: lower-case hexadecimal, 24 characters or more
 
-Novelty spans: every run of 16 or more key characters with a digit that stands
-within CONTEXT characters after a sensitive word is compressed by zstandard,
-primed with a dictionary of common identifiers and the text around the run.
-Text that repeats its surroundings or is built of known identifiers costs few
-bytes more; a run that costs at least NOVELTY bytes a character is reported as
-``novel``, unless a pattern span already covers part of it.
+Novelty spans: candidates are runs of 16 or more key characters that begin within
+CONTEXT characters after a sensitive word, and runs that directly follow one which was
+reported (the next line of a key), however many there are. A candidate is compressed by
+zstandard, primed with a dictionary of common identifiers and the text around it. Text
+that repeats its surroundings or is built of known identifiers costs few bytes more; a
+run is reported as ``novel`` when it costs about what random characters of its own
+alphabet do (a hexadecimal digit is worth half a byte, a letter or digit three quarters),
+unless a pattern span already covers part of it. Runs of letters alone must also be
+unlike words, by the share of their pairs of neighbouring letters that are common in
+them: a word that is new here is incompressible, too.
 
 Spans count code points, end exclusive. Cases: null or empty text has no spans;
-texts are scanned whole, however long; repeated rows are scanned alike; an
+texts are scanned whole, however long, in time linear in their length; repeated rows are scanned alike; an
 empty table gives an empty result; other columns pass through ``masked``.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
 
 import pandas as pd
 import zstandard
@@ -33,7 +39,19 @@ from strata.llm.tables import free_name
 KINDS = ["assign", "access", "hex", "novel"]
 CONTEXT = 64
 SURROUNDINGS = 2048
-NOVELTY = 0.7  # random letters and digits take 0.74 bytes a character, however long
+NOVELTY = 0.7  # bytes a character; random letters and digits take 0.74, however long
+SHARE = 0.95  # of the entropy of an alphabet smaller than letters and digits
+BETWEEN = 16  # most characters between two lines of a key: line end, quotes, indent, +
+WORD_LIKE = 0.35  # share of common pairs; chance gives 0.2, words of European languages over 0.4
+MIXED_LIKE = 0.5  # the same where case changes as in MIXED of all pairs: chance gives 0.5 there
+MIXED = 0.25
+# Common pairs of letters in words.
+COMMON_PAIRS = frozenset(
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le "
+    "ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec "
+    "pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie wh ee wi em ad ol rt po we na "
+    "ni ts mo ow im mi sh ir os ia am ci op sc ei do da au".split()
+)
 LEVEL = 9
 # Identifiers that surround or resemble secrets without being any.
 IDENTIFIERS = (
@@ -61,6 +79,11 @@ HEX = re.compile("[0-9a-f]{24,}")
 CUES = ("auth", "bearer", "cred", "key", "passw", "private", "pwd", "secret", "session", "signature", "token")
 CUE = re.compile("|".join(CUES), re.ASCII | re.IGNORECASE)
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+RUN_START = re.compile(r"[A-Za-z0-9+/_=-]{16}")
+HAS_DIGIT = re.compile("[0-9]")
+DIGITS_ONLY, HEX_LOWER, HEX_UPPER, BASE36_LOWER, BASE36_UPPER = map(
+    re.compile, ("[0-9]+", "[0-9a-f]+", "[0-9A-F]+", "[0-9a-z]+", "[0-9A-Z]+")
+)
 
 SPANS = ArrayType(
     StructType([StructField("kind", StringType()), StructField("start", IntegerType()), StructField("end", IntegerType())])
@@ -88,25 +111,65 @@ def marginal_bytes(run: str, around: str) -> int:
     return len(press.compress(run.encode())) - len(press.compress(b""))
 
 
+def key_bytes(run: str) -> float:
+    """Bytes a character that a random run of this run's alphabet takes at least."""
+    body = run.strip("=-")
+    classes = ((DIGITS_ONLY, 10), (HEX_LOWER, 16), (HEX_UPPER, 16), (BASE36_LOWER, 36), (BASE36_UPPER, 36))
+    size = next((n for pattern, n in classes if pattern.fullmatch(body)), 64)
+    return min(NOVELTY, SHARE * math.log2(size) / 8)
+
+
+def random_letters(run: str) -> bool:
+    """Whether a run without digits is unlike words, however new."""
+    letters = "".join(c for c in run if c.isalpha())
+    pairs = len(letters) - 1
+    if pairs < 15:
+        return False
+    changes = sum(a.islower() != b.islower() for a, b in zip(letters, letters[1:], strict=False))
+    letters = letters.lower()
+    common = sum(letters[i : i + 2] in COMMON_PAIRS for i in range(pairs))
+    return common < (MIXED_LIKE if changes > MIXED * pairs else WORD_LIKE) * pairs
+
+
+def novel(text: str, start: int, end: int) -> bool:
+    """Whether the candidate stays incompressible beside its surroundings."""
+    run = text[start:end]
+    if not (HAS_DIGIT.search(run) or random_letters(run)):
+        return False
+    around = text[end : end + SURROUNDINGS] + " " + text[max(0, start - SURROUNDINGS) : start]
+    return marginal_bytes(run, around) >= key_bytes(run) * len(run)
+
+
 def novel_spans(text: str, lower: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Candidates that stay incompressible and touch no known span."""
-    found, done = [], 0
+    found: list[tuple[int, int, int]] = []
     if not any(c in lower for c in CUES):
         return found
+    covered: list[list[int]] = []  # known spans, overlapping ones as one, ascending
+    for s, _, e in sorted(known):
+        if covered and s < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], e)
+        else:
+            covered.append([s, e])
+    starts = [s for s, _ in covered]
+    done = 0
+
+    def touches(start: int, end: int) -> bool:
+        at = bisect_left(starts, end)
+        return at > 0 and covered[at - 1][1] > start
+
     for cue in CUE.finditer(text):
-        at = max(done, cue.end())
-        while m := RUN.search(text, at, cue.end() + CONTEXT + 16):
+        at, limit = max(done, cue.end()), cue.end() + CONTEXT
+        while at <= limit and (m := RUN_START.search(text, at, limit + 16)):
             start = m.start()
-            if start > cue.end() + CONTEXT:
+            if start > limit:
                 break
-            end = RUN.match(text, start).end()
-            at = done = end
-            run = text[start:end]
-            if not any(c.isdigit() for c in run) or any(s < end and start < e for s, _, e in known):
-                continue
-            around = text[end : end + SURROUNDINGS] + " " + text[max(0, start - SURROUNDINGS) : start]
-            if marginal_bytes(run, around) >= NOVELTY * len(run):
+            end = done = at = RUN.match(text, start).end()
+            if touches(start, end):
+                limit = max(limit, end + BETWEEN)  # a key's first line may be a pattern's
+            elif novel(text, start, end):
                 found.append((start, 3, end))
+                limit = max(limit, end + BETWEEN)
     return found
 
 

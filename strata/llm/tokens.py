@@ -1,8 +1,8 @@
 """Token ids of whole texts by a public vocabulary (never trained here).
 
 The reference ids are those of the ``tokenizers`` library with TOKENIZER and
-``add_special_tokens=False``; special token strings inside a text are ordinary
-text. The same vocabulary is also given as merge ranks, which ``tiktoken``
+``add_special_tokens=False``; a special token's string inside a text is its id, as
+the library has it by default. The same vocabulary is also given as merge ranks, which ``tiktoken``
 applies several times as fast with equal ids (the tests compare them), so that
 is what runs in the tasks.
 """
@@ -18,6 +18,8 @@ import pyarrow as pa
 
 TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
+# Special tokens of the vocabulary and their ids.
+SPECIAL = {"<|endoftext|>": 50256}
 SLICE_BYTES = 2 << 20  # text encoded at a time in a task
 
 
@@ -29,14 +31,14 @@ def _encoding(name: str):
 
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def encoded(texts: list[str], ranks: str = RANKS) -> Iterator[np.ndarray]:
     """uint32 ids of each text."""
     encoding = _encoding(ranks)
     for text in texts:
-        yield encoding.encode_to_numpy(text, disallowed_special=())
+        yield encoding.encode_to_numpy(text, allowed_special="all")
 
 
 def sliced(texts: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:

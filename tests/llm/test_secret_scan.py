@@ -74,6 +74,48 @@ def test_novelty_finds_random_keys_and_passes_known_text():
     assert ss.text_spans("bearer " + long) == [(7, 3, 7 + len(long))]
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def test_keys_of_every_alphabet_and_of_many_lines():
+    rng = random.Random(9)
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    lines = [draw(LETTERS + "0123456789+/", 64) for _ in range(24)] + [draw(LETTERS + "0123456789+/", 30) + "=="]
+    for joint in ("\n", "\r\n", '\\n" +\n  "'):
+        pem = "-----BEGIN RSA PRIVATE KEY-----\n" + joint.join(lines) + "\n-----END RSA PRIVATE KEY-----\n"
+        spans = {(s, e) for s, _, e in ss.text_spans("some words before " + pem + "and after")}
+        assert all(any(s <= pem.index(x) + 18 and pem.index(x) + 18 + len(x) <= e for s, e in spans) for x in lines)
+    for alphabet, n in (("0123456789ABCDEF", 128), ("0123456789ABCDEF", 256), (LETTERS, 40), (LETTERS[:26], 48), (LETTERS[26:], 48), ("0123456789abcdefghijklmnopqrstuvwxyz", 300)):
+        for _ in range(20):
+            run = draw(alphabet, n)
+            text = f"the bearer we were given is {run} for now"
+            assert any(s <= 28 and e >= 28 + n for s, _, e in ss.text_spans(text)), run
+
+
+def test_words_after_sensitive_words_stay_clean():
+    for words in (
+        "internationalization", "Donaudampfschifffahrtsgesellschaft", "keyboard-configuration-settings", "anticonstitutionnellement",
+        "getAuthenticationTokenProvider", "UNCHARACTERISTICALLY", "electroencephalographically", "-----------------------",
+        "abcdefghijklmnopqrstuvwxyz", "================", "responsabilidades", "MaxConcurrentSessionCount",
+    ):
+        assert ss.text_spans(f"the secret key of the session: the {words} of the private house") == [], words
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    rng = random.Random(3)
+    key = lambda: "".join(rng.choice(LETTERS + "0123456789") for _ in range(40))
+    took = []
+    for n in (2000, 16_000):
+        text = "\n".join(f"api_key = {key()} secret key {key()}" for _ in range(n))
+        began = time.perf_counter()
+        spans = ss.text_spans(text)
+        took.append(time.perf_counter() - began)
+        assert len(spans) > 1.999 * n
+    assert took[1] < 20 * took[0]
+
+
 def test_masked_keeps_columns(spark):
     docs = frame(spark, [None, "", "clean", "a token = abcdef123 b " + "0f" * 14])
     out = ss.masked(docs)
