@@ -178,22 +178,18 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host
 
 
 def passing(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """docs without the rejected ones; same columns. Every text is measured once: the
-    rows that pass the base rules are written with the outcome, and host rates, which
-    need all rows, come from a narrow table beside them."""
+    """docs without the rejected ones; same columns. Texts are measured twice, for the
+    host rates and to filter: carrying them beside the first outcome took an executor's
+    memory beyond its limit (see the README's figures)."""
+    rows = measured(docs.select(F.col(f"`{host_col}`").alias("host"), F.col(f"`{text_col}`").alias("text")), "text")
     prefix = free_name([c[:2] for c in docs.columns], "q_")
-    names = [f"`{c}`" for c in docs.columns]
-    base_failed, rule_failed = F.col(f"`{prefix}base_failed`"), F.col(f"`{prefix}rule_failed`")
-    own = {f"{prefix}host": F.col(f"`{host_col}`"), f"{prefix}text": F.when(~base_failed, F.col(f"`{text_col}`"))}
-    measures = measured(docs, text_col, prefix).withColumns(own)
-    rest = [n for n in names if n != f"`{text_col}`"]
-    rows = saved(measures.select(*rest, *[f"`{prefix}{c}`" for c in ("text", "host", "base_failed", "rule_failed")]), "judged")
-    hosts = host_rates(rows.select(F.col(f"`{prefix}host`").alias("host"), rule_failed.alias("rule_failed")))
+    hosts = host_rates(rows.select("host", "rule_failed"))
     hosts = hosts.select(*[F.col(c).alias(f"{prefix}v_{c}") for c in ("host", "rejected", "trusted")])
-    same = F.col(f"`{prefix}host`").eqNullSafe(F.col(f"{prefix}v_host"))
-    kept = verdict(base_failed, rule_failed, F.col(f"{prefix}v_rejected"), F.col(f"{prefix}v_trusted"))
-    out = rows.where(~base_failed).join(hosts, same, "left").where(kept)
-    return out.select(*[F.col(f"`{prefix}text`" if c == text_col else f"`{c}`").alias(c) for c in docs.columns])
+    base_failed, rule_failed = F.col(f"`{prefix}base_failed`"), F.col(f"`{prefix}rule_failed`")
+    own = measured(docs, text_col, prefix).where(~base_failed).select(*[f"`{c}`" for c in docs.columns], rule_failed)
+    same = F.col(f"`{host_col}`").eqNullSafe(F.col(f"{prefix}v_host"))
+    kept = verdict(F.lit(False), rule_failed, F.col(f"{prefix}v_rejected"), F.col(f"{prefix}v_trusted"))
+    return own.join(hosts, same, "left").where(kept).select(*[f"`{c}`" for c in docs.columns])
 
 
 ORACLE_SQL = r"""

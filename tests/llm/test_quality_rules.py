@@ -85,14 +85,6 @@ def test_a_trusted_host_keeps_its_odd_pages_and_others_do_not(spark):
     assert {r.doc_id for r in qr.passing(docs).collect()} == kept
 
 
-def test_every_text_is_measured_once(spark, monkeypatch):
-    seen = []
-    real = qr.measured
-    monkeypatch.setattr(qr, "measured", lambda *a: seen.append(a) or real(*a))
-    qr.passing(frame(spark)).collect()
-    assert len(seen) == 1
-
-
 def test_very_long_text(spark):
     text = " ".join(f"w{i}" for i in range(200_000))
     docs = spark.createDataFrame([(0, text, "a"), (1, text + " " + text, "a")], "doc_id long, text string, source string")
