@@ -1,7 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
 Documents and benchmark items are sequences of lower-cased words. Windows of
-MIN_RUN words are hashed in one rolling pass (Karp-Rabin) and joined; equal
+MIN_RUN words are hashed in one rolling pass (Karp-Rabin, by prefix sums) and joined; equal
 windows that follow each other in both texts form the common runs of a document
 and an item. The longest run is marked as a tile again and again, cut where its
 words are already covered, until none of MIN_RUN words is left. An item is
@@ -33,17 +33,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from strata.llm.tables import free_name, numbered, saved
-from strata.llm.words import slices, split_words, text_buffer, windows
+from strata.llm.words import mix, slices, split_words, text_buffer
 
 MIN_RUN = 5
 COVERAGE = 0.5
 BITMAP_BITS = 22
 SLICE_BYTES = 4 << 20
+BASE = 0x9E3779B97F4A7C15  # odd
+
+
+def _rolled(words: np.ndarray, width: int) -> np.ndarray:
+    """Karp-Rabin hash of every window of ``width`` words, whatever the width in
+    constant work each: prefix sums of word * BASE**place modulo 2**64, where the
+    difference of two is a window's sum, moved back to place 0 (BASE is odd, so
+    it has an inverse). Words are 64-bit hashes and the sum is mixed at the end."""
+    n = len(words) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    power = np.full(len(words), BASE, np.uint64)
+    back = np.full(n, pow(BASE, -1, 1 << 64), np.uint64)
+    power[0] = back[0] = 1
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * np.multiply.accumulate(power), out=sums[1:])
+    return mix((sums[width:] - sums[:n]) * np.multiply.accumulate(back))
 
 
 def _starts(hashes: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(window hash, text, place in the text) of all windows inside one text."""
-    rolled = windows(hashes, width)
+    rolled = _rolled(hashes, width)
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
     if not len(rolled):
         return rolled, text[:0], text[:0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -47,6 +48,17 @@ def test_tiles_equal_the_definition(doc, item, width):
     assert dc.tiles(hits(doc, item, width), width) == plain_tiles(doc, item, width)
 
 
+def test_rolled_hashes_tell_windows_apart():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 2**64, 4, dtype=np.uint64)[rng.integers(0, 4, 3000)]
+    for width in (1, 2, 5, 40):
+        rolled = dc._rolled(words, width)
+        windows = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+        assert len(rolled) == len(windows) and len(set(rolled.tolist())) == len(set(windows))
+        assert len(set(zip(rolled.tolist(), windows, strict=True))) == len(set(windows))
+    assert len(dc._rolled(words[:3], 5)) == 0 and len(dc._rolled(words[:0], 5)) == 0
+
+
 def found(spark, docs, items):
     out = dc.contaminations(spark.createDataFrame([(i, t, 0, 0) for i, t in docs], DOCS), spark.createDataFrame(items, ITEMS))
     return sorted((r.doc_id, r.item_id, r.covered) for r in out.collect())
