@@ -1,11 +1,15 @@
 """Licences of files, in built-in DataFrame functions only.
 
-Candidate passages are a file's license statements (each line with a license
-word; a header) and, for a license file, its whole text. Passages and templates
-are sparse TF-IDF vectors over lower-case terms (weights from how many templates
-hold a term; terms of no template count as rarest, so other prose lowers the
-match). A passage has the license of the template of highest cosine, if that
-reaches MIN_COSINE; a file has the license of its best passage.
+Candidate passages of a file are each line with a license word, that line with
+the next one, each header block (neighbouring lines up to a blank or bare comment
+line) with a license word, each run of such blocks and, for a license file, its
+whole text. Templates are names, one-line statements, SPDX tags, titles, standard
+headers and whole short licences (license_templates.py). Both are sparse TF-IDF
+vectors over lower-case terms (weights from how many templates hold a term; terms
+of no template count as rarest, so other prose lowers the match). A passage has
+the license of the template of highest cosine, if that reaches MIN_COSINE; a file
+has the license of its best passage. GENERAL, a name without its version, counts
+only where no passage says more.
 
 A license file speaks for its directory. A file without a license of its own
 inherits that of the nearest ancestor directory that has one: every directory is
@@ -16,7 +20,8 @@ passages only, and a common directory is one row of the small side.
 Cases: null or blank texts have no passage but still inherit; a null path has no
 directory and inherits nothing; equal cosines go to the first license by name;
 of several license files in a directory the best match speaks; repeated rows are
-reported each; empty tables give empty results; other columns are not read.
+reported each; very long texts are read whole, and one line may be as long as
+its text; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,30 +29,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.license_templates import templates
 from strata.llm.tables import numbered, saved
 
 MIN_COSINE = 0.6
-# Short statements by which files name common licenses.
-TEMPLATES = [
-    ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("BSD-2-Clause", "Released under the BSD 2-Clause Simplified License."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License. Redistribution and use in source and binary forms are permitted."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0, the Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("ISC", "Released under the ISC License. Permission to use, copy, modify and distribute is granted."),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("Unlicense", "This is free and unencumbered software released into the public domain."),
-]
-CUE = "(?i)licen[cs]e|copyright|spdx|public domain|all rights reserved"
+TEMPLATES = templates()
+GENERAL = "GPL-1.0-or-later"
+_WORDS = "licen[cs]e|copyright|spdx|public domain|all rights reserved|redistribut|permission is hereby|permission to use"
+CUE = f"(?i){_WORDS}"
 LICENSE_FILE = "(?i)^(licen[cs]e|copying|unlicense)([._-].*)?$"
 _TERM = "[^a-z0-9.+-]+"
+_BLANK = r"\n[ \t\r#*/;%-]*\n"  # ends a block; a second blank line begins the next one
+_OTHER, _NEXT = "\x01", "\x02"  # stand for a block without a license word, and between blocks of a run
 
 
 def _terms(text: Column) -> Column:
@@ -58,16 +51,16 @@ def _terms(text: Column) -> Column:
 
 
 def template_weights(spark: SparkSession, templates: list[tuple[str, str]]) -> tuple[DataFrame, float]:
-    """((license, term, idf, weight of the unit vector), idf of terms in no template)."""
-    rows = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(text).alias("text")) for name, text in templates])
+    """((license, template, term, idf, weight of the unit vector), idf of terms in no template)."""
+    rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(name).alias("license"), F.lit(text).alias("text")) for i, (name, text) in enumerate(templates)])
     base = spark.range(1).select(F.inline(rows))
-    counts = base.select("license", F.explode(_terms(F.col("text"))).alias("term")).groupBy("license", "term").agg(F.count("*").alias("tf"))
+    counts = base.select("template", "license", F.explode(_terms(F.col("text"))).alias("term")).groupBy("template", "license", "term").agg(F.count("*").alias("tf"))
     many = len(templates)
     idf = counts.groupBy("term").agg((F.log((1.0 + many) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
     weighted = counts.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = weighted.groupBy("license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    norm = weighted.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return (
-        weighted.join(norm, "license").select("license", "term", "idf", (F.col("w") / F.col("norm")).alias("weight")),
+        weighted.join(norm, "template").select("license", "template", "term", "idf", (F.col("w") / F.col("norm")).alias("weight")),
         _rarest(many),
     )
 
@@ -88,27 +81,46 @@ def _directory(path: Column) -> Column:
 
 
 def passages(files: DataFrame) -> DataFrame:
-    """files(uid, path, text) -> (uid, place, passage): statements, and license files whole (place -1)."""
-    lines = files.where(F.col("text").rlike(CUE)).select("uid", F.posexplode(F.split("text", "\n")).alias("place", "passage"))
-    whole = files.where(_name(F.col("path")).rlike(LICENSE_FILE)).select("uid", F.lit(-1).alias("place"), F.col("text").alias("passage"))
-    return lines.where(F.col("passage").rlike(CUE)).unionAll(whole)
+    """files(uid, path, text) -> (uid, kind, place, passage); kinds: 0 whole license
+    file, 1 line, 2 line and the next, 3 block, 4 run of blocks."""
+    stating = files.where(F.col("text").rlike(CUE))
+    at = stating.select("uid", F.split("text", "\n").alias("lines"), F.split("text", _BLANK).alias("blocks"))
+    lines = at.select("uid", "lines", F.posexplode("lines").alias("place", "passage")).where(F.col("passage").rlike(CUE))
+    following = F.get("lines", F.col("place") + 1)
+    pairs = lines.where(following.isNotNull()).select("uid", F.lit(2).alias("kind"), "place", F.concat_ws(" ", "passage", following).alias("passage"))
+    blocks = at.select("uid", F.posexplode("blocks").alias("place", "passage"))
+    blocks = blocks.where(F.col("passage").rlike(CUE) & F.col("passage").contains("\n"))
+    marked = F.transform("blocks", lambda b: F.when(b.rlike(CUE), b).otherwise(F.lit(_OTHER)))
+    runs = at.select("uid", F.posexplode(F.split(F.array_join(marked, _NEXT), _OTHER)).alias("place", "passage"))
+    runs = runs.where(F.regexp_replace("passage", f"^{_NEXT}|{_NEXT}$", "").contains(_NEXT))  # of two blocks and more
+    whole = files.where(_name(F.col("path")).rlike(LICENSE_FILE)).select("uid", F.lit(0).alias("kind"), F.lit(-1).alias("place"), F.col("text").alias("passage"))
+    kinds = [lines.select("uid", F.lit(1).alias("kind"), "place", "passage"), pairs]
+    kinds += [t.select("uid", F.lit(kind).alias("kind"), "place", "passage") for kind, t in ((3, blocks), (4, runs))]
+    for kind in kinds:
+        whole = whole.unionAll(kind)
+    return whole
 
 
 def own_licenses(files: DataFrame, templates: list[tuple[str, str]], least: float) -> DataFrame:
-    """(uid, license, score, place) of each file's best passage."""
+    """(uid, license, score, kind, place) of each file's best passage."""
     weights, rarest = template_weights(files.sparkSession, templates)
-    terms = passages(files).select("uid", "place", F.explode(_terms(F.col("passage"))).alias("term"))
-    counts = saved(terms.groupBy("uid", "place", "term").agg(F.count("*").alias("tf")), "license-terms")
+    key = ["uid", "kind", "place"]
+    terms = passages(files).select(*key, F.explode(_terms(F.col("passage"))).alias("term"))
+    counts = saved(terms.groupBy(*key, "term").agg(F.count("*").alias("tf")), "license-terms")
     idf = weights.groupBy("term").agg(F.first("idf").alias("idf"))
     tf_idf = counts.join(idf, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rarest)))
-    norms = tf_idf.groupBy("uid", "place").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = counts.join(weights, "term").groupBy("uid", "place", "license").agg(
+    norms = tf_idf.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    dots = counts.join(weights, "term").groupBy(*key, "license", "template").agg(
         F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot")
     )
     # rounded, so that equal passages tie whatever the order of their sums
-    scores = dots.join(norms, ["uid", "place"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
-    best = F.min(F.struct((-F.col("score")).alias("minus"), "license", "place")).alias("best")
-    return scores.groupBy("uid").agg(best).select("uid", "best.license", (-F.col("best.minus")).alias("score"), "best.place")
+    scores = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
+    general = (F.col("license") == GENERAL).alias("general")
+    minus = (-F.col("score")).alias("minus")
+    of_passage = scores.groupBy(*key).agg(F.min(F.struct(minus, "license")).alias("p"))
+    of_passage = of_passage.select(*key, "p.license", (-F.col("p.minus")).alias("score"))
+    best = F.min(F.struct(general, minus, "license", "kind", "place")).alias("best")
+    return of_passage.groupBy("uid").agg(best).select("uid", "best.license", (-F.col("best.minus")).alias("score"), "best.kind", "best.place")
 
 
 def inherited(directories: DataFrame, speaking: DataFrame) -> DataFrame:
@@ -169,15 +181,16 @@ def as_files(docs: DataFrame) -> DataFrame:
 
 
 def _oracle() -> str:
-    values = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
+    quoted = [(name, text.replace("'", "''")) for name, text in TEMPLATES]
+    values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(quoted))
     terms = r"list_filter(list_transform(regexp_split_to_array(lower({0}), '[^a-z0-9.+-]+'), lambda t: regexp_replace(t, '^[.+-]+|[.+-]+$', '', 'g')), lambda t: t <> '')"
-    cue = "licen[cs]e|copyright|spdx|public domain|all rights reserved"
+    cue = _WORDS
     return rf"""
-WITH templates(license, text) AS (VALUES {values}),
-tt AS (SELECT license, term, count(*) AS tf FROM (SELECT license, unnest({terms.format("text")}) AS term FROM templates) GROUP BY ALL),
+WITH templates(template, license, text) AS (VALUES {values}),
+tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({terms.format("text")}) AS term FROM templates) GROUP BY ALL),
 idf AS (SELECT term, ln((1.0::DOUBLE + {len(TEMPLATES)}) / (1.0::DOUBLE + count(*))) + 1.0::DOUBLE AS idf FROM tt GROUP BY term),
 tw AS (
-  SELECT license, term, idf, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license)) AS weight FROM tt JOIN idf USING (term)
+  SELECT template, license, term, idf, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY template)) AS weight FROM tt JOIN idf USING (term)
 ), named AS (
   SELECT row_number() OVER () AS uid, doc_id, coalesce(doc_id, 0) AS number, coalesce(source, 'unknown') AS top, coalesce(text, '') AS text,
     regexp_matches(coalesce(text, ''), '{cue}', 'i') AND coalesce(doc_id, 0) % 2 = 0 AS speaks FROM documents
@@ -186,22 +199,37 @@ tw AS (
     CASE WHEN speaks THEN 'LICENSE-' || number ELSE number || '.txt' END AS name FROM named
 ), files AS (
   SELECT uid, doc_id, directory || '/' || name AS path, directory, speaks, text FROM dirs
+), parts AS (
+  SELECT uid, string_split(text, chr(10)) AS lines, regexp_split_to_array(text, '{_BLANK}') AS blocks
+  FROM files WHERE regexp_matches(text, '{cue}', 'i')
 ), lines AS (
-  SELECT uid, unnest(range(len(string_split(text, chr(10))))) AS place, unnest(string_split(text, chr(10))) AS passage FROM files
+  SELECT uid, place, lines[place] AS passage, lines[place + 1] AS following
+  FROM (SELECT uid, lines, unnest(range(1, len(lines) + 1)) AS place FROM parts) WHERE regexp_matches(lines[place], '{cue}', 'i')
+), blocks AS (
+  SELECT uid, unnest(range(len(blocks))) AS place, unnest(blocks) AS passage, unnest(list_transform(blocks, lambda b: regexp_matches(b, '{cue}', 'i'))) AS states
+  FROM parts
+), islands AS (
+  SELECT *, place - row_number() OVER (PARTITION BY uid ORDER BY place) AS island FROM blocks WHERE states
 ), passages AS (
-  SELECT uid, place, passage FROM lines WHERE regexp_matches(passage, '{cue}', 'i')
-  UNION ALL SELECT uid, -1, text FROM files WHERE speaks
+  SELECT uid, 1 AS kind, place, passage FROM lines
+  UNION ALL SELECT uid, 2, place, passage || ' ' || following FROM lines WHERE following IS NOT NULL
+  UNION ALL SELECT uid, 3, place, passage FROM blocks WHERE states AND contains(passage, chr(10))
+  UNION ALL SELECT uid, 4, min(place), string_agg(passage, ' ' ORDER BY place) FROM islands GROUP BY uid, island HAVING count(*) > 1
+  UNION ALL SELECT uid, 0, -1, text FROM files WHERE speaks
 ), counts AS (
-  SELECT uid, place, term, count(*) AS tf FROM (SELECT uid, place, unnest({terms.format("passage")}) AS term FROM passages) GROUP BY ALL
+  SELECT uid, kind, place, term, count(*) AS tf FROM (SELECT uid, kind, place, unnest({terms.format("passage")}) AS term FROM passages) GROUP BY ALL
 ), norms AS (
-  SELECT uid, place, sqrt(sum((tf * w) * (tf * w))) AS norm
+  SELECT uid, kind, place, sqrt(sum((tf * w) * (tf * w))) AS norm
   FROM (SELECT counts.*, coalesce(idf, ln(1.0::DOUBLE + {len(TEMPLATES)}) + 1.0::DOUBLE) AS w FROM counts LEFT JOIN idf USING (term)) GROUP BY ALL
 ), scores AS (
-  SELECT uid, place, license, round(sum(tf * idf * weight) / any_value(norm), 9) AS score
-  FROM counts JOIN tw USING (term) JOIN norms USING (uid, place) GROUP BY uid, place, license
+  SELECT uid, kind, place, license, template, round(sum(tf * idf * weight) / any_value(norm), 9) AS score
+  FROM counts JOIN tw USING (term) JOIN norms USING (uid, kind, place) GROUP BY uid, kind, place, license, template
+), of_passage AS (
+  SELECT uid, kind, place, license, score FROM scores WHERE score >= {MIN_COSINE}
+  QUALIFY row_number() OVER (PARTITION BY uid, kind, place ORDER BY score DESC, license) = 1
 ), own AS (
-  SELECT uid, license, score FROM scores WHERE score >= {MIN_COSINE}
-  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, license, place) = 1
+  SELECT uid, license, score FROM of_passage
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY license = '{GENERAL}', score DESC, license, kind, place) = 1
 ), tab AS (
   SELECT files.*, license, score FROM files LEFT JOIN own USING (uid)
 ), speaking AS (
