@@ -83,22 +83,29 @@ def _directory(path: Column) -> Column:
 def passages(files: DataFrame) -> DataFrame:
     """files(uid, path, text) -> (uid, kind, place, passage); kinds: 0 whole license
     file, 1 line, 2 line and the next, 3 block, 4 run of blocks."""
-    stating = files.where(F.col("text").rlike(CUE))
-    at = stating.select("uid", F.split("text", "\n").alias("lines"), F.split("text", _BLANK).alias("blocks"))
-    lines = at.select("uid", "lines", F.posexplode("lines").alias("place", "passage")).where(F.col("passage").rlike(CUE))
-    following = F.get("lines", F.col("place") + 1)
-    pairs = lines.where(following.isNotNull()).select("uid", F.lit(2).alias("kind"), "place", F.concat_ws(" ", "passage", following).alias("passage"))
-    blocks = at.select("uid", F.posexplode("blocks").alias("place", "passage"))
-    blocks = blocks.where(F.col("passage").rlike(CUE) & F.col("passage").contains("\n"))
-    marked = F.transform("blocks", lambda b: F.when(b.rlike(CUE), b).otherwise(F.lit(_OTHER)))
-    runs = at.select("uid", F.posexplode(F.split(F.array_join(marked, _NEXT), _OTHER)).alias("place", "passage"))
-    runs = runs.where(F.regexp_replace("passage", f"^{_NEXT}|{_NEXT}$", "").contains(_NEXT))  # of two blocks and more
-    whole = files.where(_name(F.col("path")).rlike(LICENSE_FILE)).select("uid", F.lit(0).alias("kind"), F.lit(-1).alias("place"), F.col("text").alias("passage"))
-    kinds = [lines.select("uid", F.lit(1).alias("kind"), "place", "passage"), pairs]
-    kinds += [t.select("uid", F.lit(kind).alias("kind"), "place", "passage") for kind, t in ((3, blocks), (4, runs))]
-    for kind in kinds:
-        whole = whole.unionAll(kind)
-    return whole
+    speaks = _name(F.col("path")).rlike(LICENSE_FILE)
+    at = files.where(F.col("text").rlike(CUE) | speaks).select(
+        "uid", F.coalesce(speaks, F.lit(False)).alias("speaks"), "text", F.split("text", "\n").alias("lines"), F.split("text", _BLANK).alias("blocks")
+    )
+    passage = lambda kind, place, text: F.struct(F.lit(kind).alias("kind"), place.alias("place"), text.alias("passage"))
+    stating = lambda p: p["passage"].rlike(CUE)
+    at = at.select(
+        "uid", "speaks", "text", "lines",
+        F.filter(F.transform("lines", lambda line, i: passage(1, i, line)), stating).alias("ones"),
+        F.filter(F.transform("blocks", lambda block, i: passage(3, i, block)), stating).alias("stated"),
+        F.array_join(F.transform("blocks", lambda b: F.when(b.rlike(CUE), b).otherwise(F.lit(_OTHER))), _NEXT).alias("marked"),
+    )
+    following = F.filter("ones", lambda p: p["place"] + 1 < F.size("lines"))
+    runs = F.transform(F.split("marked", _OTHER), lambda run, i: passage(4, i, run))
+    whole = F.when(F.col("speaks"), F.array(passage(0, F.lit(-1), F.col("text")))).otherwise(F.array().cast("array<struct<kind:int,place:int,passage:string>>"))
+    found = F.concat(
+        "ones",
+        F.transform(following, lambda p: passage(2, p["place"], F.concat_ws(" ", p["passage"], F.get("lines", p["place"] + 1)))),
+        F.filter("stated", lambda p: p["passage"].contains("\n")),
+        F.filter(runs, lambda p: F.regexp_replace(p["passage"], f"^{_NEXT}|{_NEXT}$", "").contains(_NEXT)),  # of two blocks and more
+        whole,
+    )
+    return at.select("uid", F.inline(found))
 
 
 def own_licenses(files: DataFrame, templates: list[tuple[str, str]], least: float) -> DataFrame:
@@ -108,13 +115,17 @@ def own_licenses(files: DataFrame, templates: list[tuple[str, str]], least: floa
     terms = passages(files).select(*key, F.explode(_terms(F.col("passage"))).alias("term"))
     counts = saved(terms.groupBy(*key, "term").agg(F.count("*").alias("tf")), "license-terms")
     idf = weights.groupBy("term").agg(F.first("idf").alias("idf"))
+    known = F.col("idf").isNotNull()
     tf_idf = counts.join(idf, "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(rarest)))
-    norms = tf_idf.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = counts.join(weights, "term").groupBy(*key, "license", "template").agg(
-        F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot")
+    square = F.col("w") * F.col("w")
+    norms = tf_idf.groupBy(*key).agg(F.sqrt(F.sum(square)).alias("norm"), F.sqrt(F.sum(F.when(known, square).otherwise(0.0))).alias("inside"))
+    # no cosine is above the share of the passage's length that lies in terms of the templates
+    likely = norms.where(F.col("inside") >= F.col("norm") * (least - 1e-6)).select(*key, "norm")
+    dots = counts.join(likely, key).join(weights, "term").groupBy(*key, "license", "template").agg(
+        F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"), F.first("norm").alias("norm")
     )
     # rounded, so that equal passages tie whatever the order of their sums
-    scores = dots.join(norms, key).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
+    scores = dots.withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
     general = (F.col("license") == GENERAL).alias("general")
     minus = (-F.col("score")).alias("minus")
     of_passage = scores.groupBy(*key).agg(F.min(F.struct(minus, "license")).alias("p"))
