@@ -1,78 +1,66 @@
 """Connected components of an edge table by alternating star contractions.
 
-Each round deals the edges out twice (Kiveris et al., "Connected Components in
+Each round goes over the edges twice (Kiveris et al., "Connected Components in
 MapReduce and Beyond", 2014): every node hangs its larger, then its smaller
-neighbours on the smallest node it sees. Within a partition the edges come
-sorted, so a node's smallest neighbour is its first: a node of any number of
-neighbours streams through in constant memory, and no adjacency list is built.
-Rounds are logarithmic in practice; each ends in a written table, so the plan
-never grows.
+neighbours on the smallest node it sees. Minima are added up in tasks before they
+are shuffled, and a node with a large part of all edges (a hub) never has them in
+one task: the few hubs there can be are broadcast, the other nodes are joined.
+Rounds are logarithmic in practice; each half ends in a written table, so the plan
+never grows and a lost executor costs only its tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.tables import saved
 
+HUB = 1 << 10  # edges of a node that is joined
+HUBS = 1000  # or this part of all edges, if that is more: so there are fewer hubs than this
+
+
+def _with_lowest(edges: DataFrame, rows: int) -> DataFrame:
+    """edges(u, v), ``rows`` of them at most, with low, the smallest neighbour of u."""
+    lows = edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n"))
+    most = max(HUB, rows // HUBS)
+    if rows <= most:  # too few for a hub
+        return edges.join(lows.drop("n"), "u")
+    lows = saved(lows, "cc-lows")
+    hubs = F.broadcast(lows.where(F.col("n") > most).drop("n"))
+    others = edges.join(hubs, "u", "left_anti").join(lows.where(F.col("n") <= most).drop("n"), "u")
+    return edges.join(hubs, "u").unionAll(others)
+
 
-def _stars(larger: bool):
-    """Sorted (u, v): hang u's larger neighbours (or u and its smaller ones) on
-    the smallest of u and its neighbours; repeated edges are dropped."""
+def _large_star(work: DataFrame, rows: int) -> DataFrame:
+    """Each node's larger neighbours hang on the smallest of it and its neighbours."""
+    both = work.unionAll(work.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    star = _with_lowest(both, 2 * rows).where("v > u")
+    return star.select(F.col("v").alias("u"), F.least("u", "low").alias("v")).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_u = last_v = low = -1  # uids are not negative
-        for batch in batches:
-            u, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(u):
-                continue
-            first = np.concatenate([[u[0] != last_u], u[1:] != u[:-1]])
-            again = ~first & (v == np.concatenate([[last_v], v[:-1]]))
-            lows = np.minimum(u, v)
-            if not first[0]:
-                lows[0] = low
-            m = lows[np.maximum.accumulate(np.where(first, np.arange(len(u)), 0))]
-            last_u, last_v, low = u[-1], v[-1], m[-1]
-            if larger:
-                keep = ~again & (v > u)
-                a, b = v[keep], m[keep]
-            else:
-                keep = ~again & (v != m)
-                a, b = np.concatenate([v[keep], u[first]]), np.concatenate([m[keep], m[first]])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["u", "v"])
 
-    return run
+def _small_star(work: DataFrame, rows: int) -> DataFrame:
+    """Each node and its smaller neighbours hang on the smallest of these."""
+    ends = F.explode(F.array("u", "v")).alias("u")
+    return _with_lowest(work, rows).select(ends, F.col("low").alias("v")).where("u <> v").distinct()
 
 
-def _dealt(edges: DataFrame, larger: bool) -> DataFrame:
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_node = edges.repartition(parts, "u").sortWithinPartitions("u", "v")
-    return by_node.mapInArrow(_stars(larger), "u long, v long").where("u <> v")
+def _state(work: DataFrame) -> tuple:
+    return tuple(work.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """edges(a, b) long, not negative -> (uid, root) for every node of an edge
-    between two different nodes; root is the smallest uid of its component.
-    Empty edges give an empty table."""
-    work = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    before = None
-    for _ in range(max_rounds):
-        both = work.unionAll(work.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _dealt(both, larger=True)
-        work = saved(_dealt(large, larger=False), "cc")
-        state = work.distinct().agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+def components(edges: DataFrame) -> DataFrame:
+    """edges(a, b) long -> (uid, root) for every node of an edge between two
+    different nodes; root is the smallest uid of its component. Repeated edges
+    count once; empty edges give an empty table."""
+    work = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    work = saved(work, "cc")
+    before, now = None, _state(work)
+    while now != before:
+        large = saved(_large_star(work, now[0]), "cc-large")
+        work = saved(_small_star(large, now[0]), "cc")
+        before, now = now, _state(work)
     # every node but the roots has one edge left, to its root
-    tree = work.distinct()
-    return tree.select(F.col("u").alias("uid"), F.col("v").alias("root")).unionAll(
-        tree.select(F.col("v").alias("uid"), F.col("v").alias("root")).distinct()
+    return work.select(F.col("u").alias("uid"), F.col("v").alias("root")).unionAll(
+        work.select(F.col("v").alias("uid"), F.col("v").alias("root")).distinct()
     )

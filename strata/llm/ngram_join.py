@@ -87,13 +87,22 @@ def gram_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(sets) if sets else words[:0]), sizes
 
 
-PACKED = "part int, uid long, doc_id long, n long, first long, counts binary, grams binary"
+PACKED = "part int, uid long, doc_id long, n long, first long, owners binary, grams binary"
 PACKED_ARROW = pa.schema(
     [("part", pa.int32()), ("uid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("first", pa.int64()),
-     ("counts", pa.binary()), ("grams", pa.binary())]
+     ("owners", pa.binary()), ("grams", pa.binary())]
 )
 
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.zeros(len(columns[0]), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
 def _batch(schema: pa.Schema, rows: int, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [columns[f.name] if f.name in columns else pa.nulls(rows, f.type) for f in schema], schema=schema
@@ -102,7 +111,8 @@ def _batch(schema: pa.Schema, rows: int, **columns: pa.Array) -> pa.RecordBatch:
 
 def _pack_grams(parts: int, width: int):
     """Per slice of documents: one row a document, and one row a hash range with
-    the n-grams that fall there (counts per document keep the owner)."""
+    the n-grams that fall there, with (document of the slice, n-grams) for each of
+    their owners. Time and memory follow the slice, not the number of ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,12 +124,15 @@ def _pack_grams(parts: int, width: int):
                 # uids are consecutive within a partition (monotonically_increasing_id)
                 assert uid[hi - 1] - uid[lo] == docs - 1
                 part = (grams % np.uint64(parts)).astype(np.int64)
-                owner = np.repeat(np.arange(docs), sizes)
-                order = np.argsort(part, kind="stable")
-                counts = np.bincount(part * docs + owner, minlength=parts * docs).astype("<u4").reshape(parts, docs)
-                ends = np.cumsum(counts.sum(axis=1, dtype=np.int64))
+                order = np.argsort(part, kind="stable")  # of a range, text by text
+                part, owner = part[order], np.repeat(np.arange(docs), sizes)[order]
+                runs = _changes(part, owner)
+                lens = np.diff(np.append(runs, len(part)))
+                owners = np.stack([owner[runs], lens], axis=1).astype("<u4")
                 packed = grams[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                used = np.flatnonzero(np.diff(ends, prepend=0)).tolist()
+                used = _changes(part)
+                ends = np.append(used[1:], len(part))
+                cuts = np.searchsorted(runs, np.append(used, len(part)))
                 yield _batch(
                     PACKED_ARROW, docs,
                     part=pa.array(uid[lo:hi] % parts, pa.int32()), uid=pa.array(uid[lo:hi]),
@@ -127,9 +140,9 @@ def _pack_grams(parts: int, width: int):
                 )
                 yield _batch(
                     PACKED_ARROW, len(used),
-                    part=pa.array(used, pa.int32()), first=pa.array([int(uid[lo])] * len(used), pa.int64()),
-                    counts=binary_list([counts[p].tobytes() for p in used]),
-                    grams=binary_list([packed[(ends[p - 1] if p else 0) : ends[p]].tobytes() for p in used]),
+                    part=pa.array(part[used], pa.int32()), first=pa.array([int(uid[lo])] * len(used), pa.int64()),
+                    owners=binary_list([owners[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]),
+                    grams=binary_list([packed[a:b].tobytes() for a, b in zip(used, ends, strict=True)]),
                 )
 
     return run
@@ -158,14 +171,14 @@ def _rank_shared(parts: int):
                     uid=docs.column(1), doc_id=docs.column(2), n=docs.column(3),
                 )
             packs = batch.filter(cols["grams"].is_valid())
-            for first, count, gram in zip(
-                *(packs.column(packs.schema.get_field_index(k)).to_pylist() for k in ("first", "counts", "grams")), strict=True
+            for first, owner, gram in zip(
+                *(packs.column(packs.schema.get_field_index(k)).to_pylist() for k in ("first", "owners", "grams")), strict=True
             ):
                 wide = np.zeros((len(gram) // 6, 8), dtype=np.uint8)
                 wide[:, :6] = np.frombuffer(gram, dtype=np.uint8).reshape(-1, 6)
-                count = np.frombuffer(count, dtype="<u4")
+                owner = np.frombuffer(owner, dtype="<u4").reshape(-1, 2)
                 grams.append(wide.view("<u8").ravel())
-                uids.append(np.repeat(first + np.arange(len(count)), count))
+                uids.append(np.repeat(first + owner[:, 0].astype(np.int64), owner[:, 1]))
         if not grams:
             return
         gram, uid = np.concatenate(grams), np.concatenate(uids)
@@ -181,14 +194,14 @@ def _rank_shared(parts: int):
         dest = bucket_of(uid, parts)
         order = np.lexsort((uid, dest))
         key, uid, dest = key[order], uid[order], dest[order]
-        cuts = np.searchsorted(dest, np.arange(parts + 1))
-        used = [p for p in range(parts) if cuts[p + 1] > cuts[p]]
+        used = _changes(dest)
+        ends = np.append(used[1:], len(dest))
         for i in range(0, len(used), 64):
             some = used[i : i + 64]
-            cut = [slice(cuts[p], cuts[p + 1]) for p in some]
+            cut = [slice(a, b) for a, b in zip(some, ends[i : i + 64], strict=True)]
             yield _batch(
                 SHARED_ARROW, len(some),
-                dest=pa.array(some, pa.int32()), uids=binary_list([uid[c].astype("<i8").tobytes() for c in cut]),
+                dest=pa.array(dest[some], pa.int32()), uids=binary_list([uid[c].astype("<i8").tobytes() for c in cut]),
                 grams=binary_list([key[c].astype("<u8").tobytes() for c in cut]),
             )
 

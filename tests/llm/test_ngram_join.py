@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from strata.llm import components as components_module
 from strata.llm import ngram_join as nj
 from strata.llm.components import components
 
@@ -154,3 +157,51 @@ def test_buckets_are_those_of_spark(spark):
     keys = [0, 1, -1, 7, 2**31, 2**33 + 5, -(2**62), 2**63 - 1]
     rows = spark.createDataFrame([(k,) for k in keys], "k long").select("k", F.expr("pmod(hash(k), 37)").alias("b")).collect()
     assert bucket_of(np.array([r.k for r in rows]), 37).tolist() == [r.b for r in rows]
+
+
+@pytest.mark.parametrize("hub", [1 << 10, 3])
+def test_components_with_hubs(spark, monkeypatch, hub):
+    """A star of half of all edges, repeated edges and loops; with the hubs broadcast and with all nodes joined."""
+    monkeypatch.setattr(components_module, "HUB", hub)
+    monkeypatch.setattr(components_module, "HUBS", 20)
+    rng = random.Random(21)
+    edges = [(5000, rng.randrange(400)) for _ in range(300)] + [(rng.randrange(1000, 1600), rng.randrange(1000, 1600)) for _ in range(250)]
+    edges += edges[:40] + [(7, 7), (9000, 9000)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    got = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    assert sorted((r.uid, r.root) for r in got) == sorted((x, find(x)) for x in list(root))
+
+
+def test_packing_by_ranges_follows_the_slice(monkeypatch):
+    """Every n-gram keeps its owner; memory does not grow with the number of ranges."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(300)) for _ in range(rng.choice([0, 3, 200]))) for _ in range(400)]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(100, 500)), pa.array(range(400)), pa.array(texts)], names=["uid", "doc_id", "text"])
+    grams, sizes = nj.gram_sets(rows.column(2), 5)
+    want = sorted(zip(np.repeat(np.arange(100, 500), sizes).tolist(), grams.tolist(), strict=True))
+    peaks = []
+    for parts in (7, 4_000, 4_000_000):
+        tracemalloc.start()
+        docs, packs = nj._pack_grams(parts, 5)(iter([rows]))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert docs.num_rows == 400 and packs.num_rows <= min(parts, len(grams))
+        got = []
+        for r in packs.to_pylist():
+            wide = np.frombuffer(r["grams"], np.uint8).reshape(-1, 6)
+            gram = [int.from_bytes(g.tobytes(), "little") for g in wide]
+            assert {g % parts for g in gram} == {r["part"]}
+            owner = np.frombuffer(r["owners"], "<u4").reshape(-1, 2)
+            got += zip((r["first"] + np.repeat(owner[:, 0], owner[:, 1])).tolist(), gram, strict=True)
+        assert sorted(got) == want
+    assert peaks[2] < 4 * peaks[0] + (8 << 20)
