@@ -20,8 +20,9 @@ HUB = 1 << 10  # edges of a node that is joined
 HUBS = 1000  # or this part of all edges, if that is more: so there are fewer hubs than this
 
 
-def _with_lowest(edges: DataFrame, rows: int) -> DataFrame:
-    """edges(u, v), ``rows`` of them at most, with low, the smallest neighbour of u."""
+def with_lowest(edges: DataFrame, rows: int) -> DataFrame:
+    """edges(u, v, ...), ``rows`` of them at most, with low, the smallest v of their u
+    (null if all are). No u brings more than HUB rows or a HUBS-th of all to one task."""
     lows = edges.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("n"))
     most = max(HUB, rows // HUBS)
     if rows <= most:  # too few for a hub
@@ -35,14 +36,14 @@ def _with_lowest(edges: DataFrame, rows: int) -> DataFrame:
 def _large_star(work: DataFrame, rows: int) -> DataFrame:
     """Each node's larger neighbours hang on the smallest of it and its neighbours."""
     both = work.unionAll(work.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    star = _with_lowest(both, 2 * rows).where("v > u")
+    star = with_lowest(both, 2 * rows).where("v > u")
     return star.select(F.col("v").alias("u"), F.least("u", "low").alias("v")).distinct()
 
 
 def _small_star(work: DataFrame, rows: int) -> DataFrame:
     """Each node and its smaller neighbours hang on the smallest of these."""
     ends = F.explode(F.array("u", "v")).alias("u")
-    return _with_lowest(work, rows).select(ends, F.col("low").alias("v")).where("u <> v").distinct()
+    return with_lowest(work, rows).select(ends, F.col("low").alias("v")).where("u <> v").distinct()
 
 
 def _state(work: DataFrame) -> tuple:

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.components import components
+from strata.llm.components import components, with_lowest
 from strata.llm.tables import (
     binary_list,
     bucket_of,
@@ -518,8 +518,10 @@ def ngram_components(
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     rows = saved(ngram_classes(docs, id_col, text_col, width, threshold), "classes")
-    low = rows.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("low"))
-    return rows.join(low, "root", "left").select("doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"))
+    linked = rows.where("root IS NOT NULL").select(F.col("root").alias("u"), F.col("doc_id").alias("v"), "n_shingles")
+    named = with_lowest(linked, rows.count()).select(F.col("v").alias("doc_id"), "n_shingles", F.col("low").alias("component_id"))
+    alone = rows.where("root IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return named.unionAll(alone)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -205,3 +205,13 @@ def test_packing_by_ranges_follows_the_slice(monkeypatch):
             got += zip((r["first"] + np.repeat(owner[:, 0], owner[:, 1])).tolist(), gram, strict=True)
         assert sorted(got) == want
     assert peaks[2] < 4 * peaks[0] + (8 << 20)
+
+
+def test_one_component_of_most_rows(spark, monkeypatch):
+    """A hub component of copies, with null and repeated ids: the smallest id reaches every row."""
+    monkeypatch.setattr(components_module, "HUB", 3)
+    text = "one two three four five six seven"
+    rows = [(i, text) for i in range(40, 10, -1)] + [(None, text), (12, text), (1, "other words here"), (None, "alone"), (2, None)]
+    got = nj.ngram_components(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert sorted((r.component_id, r.n_shingles) for r in got if r.component_id is not None) == sorted([(11, 3)] * 32 + [(1, 1), (2, 0)])
+    assert sum(r.component_id is None for r in got) == 1
