@@ -48,8 +48,9 @@ def main() -> None:
             gold(silver(b)),
             "ReadSchema holds 4 of the 8 Bronze columns; IsNotNull filters reach the scan; "
             "the rules are one Filter + Project; HashAggregate runs partial before the "
-            "hash exchange on province (at most tasks x provinces rows cross it) and final "
-            "after; the range exchange + sort only orders the 5 result rows.",
+            "hash exchange on province and amount bin (at most tasks x provinces x bins rows cross "
+            "it) and final after; a second aggregate puts the few bins of a province together; "
+            "the range exchange + sort only orders the 5 result rows.",
         ),
         (
             "Silver over the Bronze layer",
