@@ -182,6 +182,26 @@ def test_components_with_hubs(spark, monkeypatch, hub):
     assert sorted((r.uid, r.root) for r in got) == sorted((x, find(x)) for x in list(root))
 
 
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_components_take_few_rounds(spark, monkeypatch, held):
+    """Long paths and deep trees whose edges lie together, in few written tables."""
+    monkeypatch.setattr(components_module, "HELD", held, raising=False)
+    written, saved = [], components_module.saved
+    monkeypatch.setattr(components_module, "saved", lambda df, name: written.append(name) or saved(df, name))
+    rng = random.Random(8)
+    path = list(range(900))
+    rng.shuffle(path)
+    edges = list(zip(path[:-1], path[1:], strict=True)) + [(1000 + i, 1000 + rng.randrange(max(0, i - 4), i)) for i in range(1, 600)]
+    got = sorted((r.uid, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == [(x, 0) for x in range(900)] + [(x, 1000) for x in range(1000, 1600)]
+    assert len(written) <= 22
+
+
+def test_stars_connect_what_the_edges_connect():
+    u, v = components_module.stars(np.array([5, 9, 9, 3, 20]), np.array([4, 5, 3, 9, 20]))
+    assert sorted(zip(u.tolist(), v.tolist(), strict=True)) == [(4, 3), (5, 3), (9, 3)]
+
+
 def test_packing_by_ranges_follows_the_slice(monkeypatch):
     """Every n-gram keeps its owner; memory does not grow with the number of ranges."""
     rng = random.Random(5)
